@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .names import link_spellings, name_pairs
+from .survivor import Bundle, surviving_records
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -33,5 +34,63 @@ def p1_grupos(spark: SparkSession, folder: str) -> DataFrame:
     return link_spellings(_typed_names(spark, folder), "nome", "documento", "hint")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_grupos)}
-SQL: dict[str, str] = {}
+def _edge_survivors(spark: SparkSession, folder: str) -> DataFrame:
+    """One record per edge; share and citation first, then the role that fits the source, then the name."""
+    latest = -F.unix_date("data_referencia")
+    source = F.when(F.col("fonte") == "fre", 0).when(F.col("fonte") == "qsa", 1).otherwise(2)
+    share, cited = F.col("percentual_on"), F.col("fonte_documento")
+    bundles = [
+        Bundle("percentual", ("percentual_on", "percentual_total"), share.between(0, 100) & ~F.isnan(share), (latest, source)),
+        Bundle("citacao", ("fonte_documento", "fonte"), cited.rlike("[0-9]$"), (source, latest)),
+        Bundle("papeis", ("papel", "acionista_controlador", "qualificacao"), F.col("papel").isNotNull(), (source, latest)),
+        Bundle("nome", ("origem_nome", "origem_documento"), F.col("origem_nome").isNotNull(), (F.col("origem_documento").isNull(), latest, source)),
+    ]
+    # the role follows from the source: a partner list knows partners, a filing knows shareholders
+    return surviving_records(table(spark, folder, "vinculos"), ["origem_id", "cnpj"], "id_vinculo", bundles, [("fonte", "papel")])
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    several = _edge_survivors(spark, folder).where("n > 1")
+    supplied = F.array(
+        F.struct(F.lit("percentual_on").alias("campo"), F.col("percentual.id_vinculo").alias("id_vinculo")),
+        F.struct(F.lit("fonte_documento").alias("campo"), F.col("citacao.id_vinculo").alias("id_vinculo")),
+    )
+    return several.select("origem_id", "cnpj", F.explode(supplied).alias("s")).select("origem_id", "cnpj", "s.*").where("id_vinculo is not null")
+
+
+def p3_sobreviventes(spark: SparkSession, folder: str) -> DataFrame:
+    """The surviving record of every edge."""
+    return _edge_survivors(spark, folder).select(
+        "origem_id", "cnpj", "n", "percentual.percentual_on", "percentual.percentual_total", "citacao.fonte_documento", "citacao.fonte",
+        "papeis.papel", "papeis.acionista_controlador", "papeis.qualificacao", "nome.origem_nome", "nome.origem_documento",
+    )
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_grupos, p3_found, p3_sobreviventes)}
+
+_P3 = """with r as (select *, case fonte when 'fre' then 0 when 'qsa' then 1 else 2 end as ordem from vinculos
+      where origem_id is not null and cnpj is not null),
+  g as (select origem_id, cnpj, count(*) as n from r group by all),
+  pct as (select * from (select *, row_number() over (partition by origem_id, cnpj
+      order by data_referencia desc nulls last, ordem, id_vinculo) as k from r
+      where percentual_on between 0 and 100 and not isnan(percentual_on)) where k = 1),
+  cit as (select * from (select *, row_number() over (partition by origem_id, cnpj
+      order by ordem, data_referencia desc nulls last, id_vinculo) as k from r
+      where regexp_matches(fonte_documento, '[0-9]$')) where k = 1)
+"""
+
+SQL: dict[str, str] = {
+    "p3_found": _P3 + """select p.origem_id, p.cnpj, 'percentual_on' as campo, id_vinculo from pct p join g using (origem_id, cnpj) where n > 1
+        union all select c.origem_id, c.cnpj, 'fonte_documento', id_vinculo from cit c join g using (origem_id, cnpj) where n > 1""",
+    "p3_sobreviventes": _P3 + """, pap as (select * from (select r.*, row_number() over (partition by r.origem_id, r.cnpj
+            order by r.ordem, r.data_referencia desc nulls last, r.id_vinculo) as k
+          from r left join cit c using (origem_id, cnpj)
+          where r.papel is not null and (c.cnpj is null or exists (
+            select 1 from r o where o.origem_id = r.origem_id and o.cnpj = r.cnpj and o.papel = r.papel and o.fonte is not distinct from c.fonte))) where k = 1),
+        nom as (select * from (select *, row_number() over (partition by origem_id, cnpj
+            order by origem_documento is null, data_referencia desc nulls last, ordem, id_vinculo) as k from r where origem_nome is not null) where k = 1)
+        select g.origem_id, g.cnpj, g.n, pct.percentual_on, pct.percentual_total, cit.fonte_documento, cit.fonte,
+          pap.papel, pap.acionista_controlador, pap.qualificacao, nom.origem_nome, nom.origem_documento
+        from g left join pct using (origem_id, cnpj) left join cit using (origem_id, cnpj)
+        left join pap using (origem_id, cnpj) left join nom using (origem_id, cnpj)""",
+}
