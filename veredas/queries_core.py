@@ -194,7 +194,7 @@ SQL = {
     "p4_found": _P4 + """select node as cnpj, case when looped then 'ciclo' else pos end as raiz,
         case when looped then -1 else depth end as profundidade from ended""",
     "p4_caminhos": _P4 + """, loop_ as (select node, pos, trail from ended where looped),
-        named as (select node, list_min(list_filter(trail, (x, i) -> i >= list_position(trail, pos))) as ciclo,
+        named as (select node, list_min(list_slice(trail, list_position(trail, pos), len(trail))) as ciclo,
                   list_position(trail, pos) = 1 as no_ciclo from loop_)
         select e.node as cnpj, case when looped then null else e.pos end as raiz, case when looped then -1 else depth end as profundidade,
           case when looped then null else array_to_string(list_reverse(list_append(e.trail, e.pos)), ' > ') end as caminho, ciclo, no_ciclo
