@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .mixing import mixed, report
 from .names import link_spellings, name_pairs
+from .packing import packed, usage
 from .survivor import Bundle, surviving_records
+from .tokens import measured
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -66,7 +69,33 @@ def p3_sobreviventes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_grupos, p3_found, p3_sobreviventes)}
+def p8_empacotados(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text in containers: one plan per capacity, and ``conjunto`` with all capacities together."""
+    sizes = {r.recipiente: r.capacidade_tokens for r in table(spark, folder, "recipiente").where("capacidade_tokens > 0").collect()}
+    plans = {name: {name: c} for name, c in sizes.items()} | {"conjunto": sizes}
+    return packed(measured(table(spark, folder, "documents"), ["doc_id"]), plans)
+
+
+def p8_aproveitamento(spark: SparkSession, folder: str) -> DataFrame:
+    """How full the containers of each plan are."""
+    return usage(p8_empacotados(spark, folder))
+
+
+def _mixed(spark: SparkSession, folder: str):
+    return mixed(measured(table(spark, folder, "documents"), ["doc_id", "source"]), table(spark, folder, "mistura_alvo"))
+
+
+def p9_misturas(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents of every mix and how often each comes."""
+    return _mixed(spark, folder)[0]
+
+
+def p9_participacoes(spark: SparkSession, folder: str) -> DataFrame:
+    """Shares asked and reached."""
+    return report(spark, *_mixed(spark, folder))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_grupos, p3_found, p3_sobreviventes, p8_empacotados, p8_aproveitamento, p9_misturas, p9_participacoes)}
 
 _P3 = """with r as (select *, case fonte when 'fre' then 0 when 'qsa' then 1 else 2 end as ordem from vinculos
       where origem_id is not null and cnpj is not null),
