@@ -5,15 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import reachable
 from .mixing import mixed, report
 from .names import link_spellings, name_pairs
 from .packing import packed, usage
+from .reading import reading_levels
 from .survivor import Bundle, surviving_records
 from .tokens import measured
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return reachable(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
 def _typed_names(spark: SparkSession, folder: str) -> DataFrame:
@@ -95,7 +97,20 @@ def p9_participacoes(spark: SparkSession, folder: str) -> DataFrame:
     return report(spark, *_mixed(spark, folder))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_grupos, p3_found, p3_sobreviventes, p8_empacotados, p8_aproveitamento, p9_misturas, p9_participacoes)}
+def p10_niveis(spark: SparkSession, folder: str) -> DataFrame:
+    """Level, confidence and measures of every document with words."""
+    return reading_levels(table(spark, folder, "documents"), table(spark, folder, "nivel_rotulo"))
+
+
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    labels = table(spark, folder, "nivel_rotulo")
+    documents = table(spark, folder, "documents")
+    asked = documents.where((F.col("n_chars") >= 400) & ~F.coalesce(F.col("source") == "anexo_tabular", F.lit(False)))
+    levels = reading_levels(documents, labels).select("doc_id", "nivel")
+    return levels.join(asked.select("doc_id"), "doc_id", "left_semi").join(labels.select("doc_id"), "doc_id", "left_anti")
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_grupos, p3_found, p3_sobreviventes, p8_empacotados, p8_aproveitamento, p9_misturas, p9_participacoes, p10_found, p10_niveis)}
 
 _P3 = """with r as (select *, case fonte when 'fre' then 0 when 'qsa' then 1 else 2 end as ordem from vinculos
       where origem_id is not null and cnpj is not null),
