@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +26,20 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
     )
 
 
+def reachable(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver did.
+
+    Needed where the package was put on the driver's path only; a cluster that
+    ships it (``--py-files``, PYTHONPATH) is not affected.
+    """
+    root = str(Path(__file__).resolve().parents[1])
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder of the session.
 
@@ -46,5 +61,5 @@ def cut(df: DataFrame) -> DataFrame:
     The rows are written once to reliable storage, so losing an executor later
     costs a re-read of the file and not a re-run of the iterations before it.
     """
-    shared_folder(df.sparkSession)
+    shared_folder(reachable(df.sparkSession))
     return df.checkpoint(eager=True)
