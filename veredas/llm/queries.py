@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import reachable
+from .matching import match_companies
 from .mixing import mixed, report
 from .names import link_spellings, name_pairs
 from .packing import packed, usage
@@ -14,6 +15,11 @@ from .survivor import Bundle, surviving_records
 from .tokens import measured
 
 
+#: A match is reported from this confidence on. Names that lost their region keep most of it for "none", and
+#: firms that no source knows stay far below.
+ACCEPTED = 0.2
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return reachable(spark).read.parquet(f"{folder}/{name}.parquet")
 
@@ -71,6 +77,15 @@ def p3_sobreviventes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def p6_confianca(spark: SparkSession, folder: str) -> DataFrame:
+    """The likeliest company of every entry, with its confidence."""
+    return match_companies(table(spark, folder, "stg_valor_ranking"), table(spark, folder, "stg_rf_empresa"), table(spark, folder, "stg_cvm_cia_aberta"))
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p6_confianca(spark, folder).where(F.col("confianca") >= ACCEPTED).select("posicao", "tabela", "chave")
+
+
 def p8_empacotados(spark: SparkSession, folder: str) -> DataFrame:
     """Every text in containers: one plan per capacity, and ``conjunto`` with all capacities together."""
     sizes = {r.recipiente: r.capacidade_tokens for r in table(spark, folder, "recipiente").where("capacidade_tokens > 0").collect()}
@@ -110,7 +125,7 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return levels.join(asked.select("doc_id"), "doc_id", "left_semi").join(labels.select("doc_id"), "doc_id", "left_anti")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_grupos, p3_found, p3_sobreviventes, p8_empacotados, p8_aproveitamento, p9_misturas, p9_participacoes, p10_found, p10_niveis)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_grupos, p3_found, p3_sobreviventes, p6_found, p6_confianca, p8_empacotados, p8_aproveitamento, p9_misturas, p9_participacoes, p10_found, p10_niveis)}
 
 _P3 = """with r as (select *, case fonte when 'fre' then 0 when 'qsa' then 1 else 2 end as ordem from vinculos
       where origem_id is not null and cnpj is not null),

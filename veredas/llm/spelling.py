@@ -38,6 +38,7 @@ GENERAL = frozenset(
     INTERNACIONAL INTERNATIONAL LITORAL NORTE MINEIRA NORDESTE PAULISTA PLANALTO SUL VALE AMERICAS EUROPE GRUPO BANCO COOPERATIVA TEXTIL SAUDE
     LOGISTICA METALURGIA PETROLEO GAS HOTEIS TURISMO VAREJO MAQUINAS EQUIPAMENTOS INVESTIMENTOS GESTAO HOLDING SAO""".split()
 )
+REGIONS = frozenset("AMAZONIA BRASIL CENTRO OESTE INTERNACIONAL INTERNATIONAL LITORAL NORTE MINEIRA NORDESTE PAULISTA PLANALTO SUL VALE AMERICAS EUROPE".split())
 SHORT = {"BR": "BRASIL", "BRAS": "BRASIL", "INTL": "INTERNACIONAL", "NE": "NORDESTE", "SP": "PAULISTA", "MG": "MINEIRA", "CO": "CENTRO", "TELECOM": "TELECOMUNICACOES"}
 ROMAN = {"I": "1", "II": "2", "III": "3", "IV": "4", "V": "5", "VI": "6", "VII": "7", "VIII": "8", "IX": "9", "X": "10"}
 OTHER_HOLDERS = ("OUTROS", "OUTROSACIONISTAS", "DEMAISACIONISTAS", "OUTROSSOCIOS", "TESOURARIA", "ACOESEMTESOURARIA", "ACOESTESOURARIA", "ACOESEMCIRCULACAO")
@@ -49,6 +50,7 @@ FULL_FORMS = (
     (re.compile(r"\bLIMITED PARTNERSHIP\b"), " LP "), (re.compile(r"\bHOLDINGS LIMITED\b"), " HOLDINGS LTD "), (re.compile(r"\bC[I1]A\b"), " CIA "), (re.compile(r"\bINT'?L\b"), " INTL "), (re.compile(r"&"), " E "),
 )
 _SOUNDS = (("PH", "F"), ("TH", "T"), ("QU", "K"), ("CK", "K"), ("Y", "I"), ("W", "V"), ("C", "K"), ("Q", "K"), ("Z", "S"), ("RN", "M"), ("X", "S"))
+_JOINABLE = sorted([*(w for w in GENERAL if len(w) >= 6), "COMPANHIA", "LTDA", "EIRELI"], key=lambda w: (-len(w), w))
 _OCR = str.maketrans("015834", "OISBEA")
 # -----------------------------------------------------------------------------
 
@@ -115,6 +117,19 @@ def tolerance(n: int) -> int:
     return 0 if n < 4 else 1 if n < 8 else 2
 
 
+@lru_cache(maxsize=100_000)
+def _lost_space(word: str) -> tuple[str, ...]:
+    """A word that runs into a general or legal word is taken apart."""
+    if len(word) < 8 or word in GENERAL or not word.isalpha():
+        return (word,)
+    for known in _JOINABLE:
+        if word.endswith(known) and len(word) - len(known) >= 2:
+            return (*_lost_space(word[: -len(known)]), known)
+        if word.startswith(known) and len(word) - len(known) >= 4:
+            return (known, *_lost_space(word[len(known) :]))
+    return (word,)
+
+
 def parse(name: str, hint: str = "") -> tuple[str, list[str], list[str], str]:
     """(kind, tokens, legal forms, generation) of a typed name.
 
@@ -143,6 +158,8 @@ def parse(name: str, hint: str = "") -> tuple[str, list[str], list[str], str]:
     if hint != "p" and len(words) > 1 and words[-1] not in LEGAL:
         near = [k for k in ("LTDA", "LIMITADA", "EIRELI", "TRUST", "HOLDINGS") if apart(words[-1], k) <= 1]
         words[-1:] = near[:1] or words[-1:]
+    if hint != "p":
+        words = [part for w in words for part in _lost_space(w)]
     legal = [LEGAL[w] for w in words if w in LEGAL]
     kind = hint or ("o" if legal or any(w in GENERAL for w in words) else "p")
     if kind == "p":
@@ -160,6 +177,7 @@ def parse(name: str, hint: str = "") -> tuple[str, list[str], list[str], str]:
 
 _NICK = {sound(k): {sound(x) for x in v.split()} for k, v in NICKNAMES.items()}
 _GENERAL = frozenset(sound(w) for w in GENERAL)
+_REGIONS = frozenset(sound(w) for w in REGIONS)
 
 #: strength of one aligned token
 EQUAL, TYPO, NICK, CUT, INITIAL = 4, 3, 3, 2, 1
@@ -323,3 +341,58 @@ def merged_tokens(rich: list[str], others: list[list[str]]) -> list[str]:
             if len(out[i]) == 1 and len(o[j]) > 1:
                 out[i] = o[j]
     return out
+
+
+Meanings = frozenset[str]
+
+
+def company_parts(tokens: list[str]) -> tuple[list[str], set[Meanings], set[Meanings], set[str]]:
+    """(brand, activities, regions, numbers) of an organisation's tokens.
+
+    Besides the brand every token that abbreviates or misspells general words
+    counts as those words; an abbreviation of several words keeps them all.
+    """
+    brand, activity, region, numbers = [], set(), set(), set()
+    for i, t in enumerate(tokens):
+        if t.isdigit():
+            numbers.add(t)
+            continue
+        known = general_forms(t) if i or len(tokens) > 1 else frozenset()
+        if not known:
+            brand.append(t)
+        elif known & _REGIONS:
+            region.add(known & _REGIONS)
+            if known - _REGIONS:
+                activity.add(known - _REGIONS)
+        elif "GRUPO" not in known:
+            activity.add(known)
+    return brand or tokens[:1], activity, region, numbers
+
+
+def unmatched(a: set[Meanings], b: set[Meanings]) -> int:
+    """How many words of ``a`` no word of ``b`` can mean."""
+    return sum(not any(x & y for y in b) for x in a)
+
+
+@lru_cache(maxsize=100_000)
+def general_forms(token: str) -> Meanings:
+    """The general words that a token is, shortens or misspells."""
+    if token in _GENERAL:
+        return frozenset((token,))
+    if len(token) >= 5:
+        near = frozenset(g for g in _GENERAL if len(g) >= 5 and g[0] == token[0] and apart(token, g) <= (1 if len(g) < 9 else 2))
+        if near:
+            return near
+    if 2 <= len(token) <= 7:
+        return frozenset(g for g in _GENERAL if len(g) >= len(token) + 2 and g.startswith(token))
+    return frozenset()
+
+
+def initials_code(name: str) -> str:
+    """The form ``ABC DEF`` by which firms are listed: initials of the words, then the brand's first letters."""
+    flat = [w for w in re.findall(r"[A-Z][A-Z'-]*", NOTES.sub(" ", fold(name)).replace(".", " ")) if w not in PARTICLES and w not in LEGAL and w not in ("S", "A")]
+    own = [w for w in flat if w not in ROMAN or w == flat[0]]
+    if len(own) < 2:
+        return ""
+    brand = next((w for w in own if w not in GENERAL), own[0])
+    return "".join(w[0] for w in own) + " " + brand[:3]
