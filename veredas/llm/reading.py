@@ -22,8 +22,9 @@ FREQUENT = 1e-5
 _WORD = re.compile(r"[^\W\d_]+")
 _TAG = re.compile(r"<[^<>]{1,200}>|&[a-z]{2,8};|https?://\S+")
 _FURNITURE = re.compile(r"(?im)^.*(?:p[áa]gina \d+ de \d+|page \d+ of \d+).*$")
+_PAGE = re.compile(r"(?i)(?:gina|page) \d+ (?:de|of) \d+")
 _BROKEN = re.compile(r"(?<=[^\W\d_])-\n(?=[^\W\d_])")
-_STOP = re.compile(r"[.!?;:]+(?:\s|$)|[.!?](?=[A-ZÁÀÂÃÉÊÍÓÔÕÚÇ])|\n{2,}|\n\s*[-*•]\s|\n\d+[.)]\s")
+_STOP = re.compile(r"[.!?;:]+(?=[\sA-ZÁÀÂÃÉÊÍÓÔÕÚÇ]|$)|\n(?=\n|\s*[-*•]\s|\d+[.)]\s)")
 # fixed values: function words that tell the two languages apart
 _ENGLISH = frozenset("the of and to that which with for by is was from".split())
 _PORTUGUESE = frozenset("de que do da em um uma para com os as não no na por".split())
@@ -31,7 +32,12 @@ _PORTUGUESE = frozenset("de que do da em um uma para com os as não no na por".s
 
 def clean(text: str) -> str:
     """The text without markup, page headers, line-end hyphens and wrong decoding."""
-    return _BROKEN.sub("", _FURNITURE.sub(" ", _TAG.sub(" ", repair(text)))).strip()
+    text = repair(text)
+    if "<" in text or "&" in text or "http" in text:
+        text = _TAG.sub(" ", text)
+    if _PAGE.search(text):
+        text = _FURNITURE.sub(" ", text)
+    return _BROKEN.sub("", text) if "-\n" in text else text
 
 
 def words(text: str) -> list[str]:
@@ -47,9 +53,10 @@ def complexity(text: str, own: list[str]) -> tuple[float, float, float, float, f
     n = len(own)
     if not n:
         return 0.0, 0.0, 0.0, 0.0, 0.0, 0
-    lengths = sorted(k for s in _STOP.split(text) if s and (k := len(_WORD.findall(s))) > 2) or [n]
-    english = sum(w in _ENGLISH for w in own) > sum(w in _PORTUGUESE for w in own)
-    return float(_quantile(lengths, 0.5)), float(_quantile(lengths, 0.8)), sum(lengths) / len(lengths), sum(map(len, own)) / n, text.count(",") / n, int(english)
+    lengths = sorted(k for s in _STOP.split(text) if (k := len(s.split())) > 2) or [n]
+    seen = Counter(own)
+    english = sum(seen[w] for w in _ENGLISH) > sum(seen[w] for w in _PORTUGUESE)
+    return float(_quantile(lengths, 0.5)), float(_quantile(lengths, 0.8)), sum(lengths) / len(lengths), len("".join(own)) / n, text.count(",") / n, int(english)
 
 
 def vocabulary(documents: DataFrame, text: str = "text") -> DataFrame:
@@ -58,9 +65,7 @@ def vocabulary(documents: DataFrame, text: str = "text") -> DataFrame:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter = Counter()
         for batch in batches:
-            for t in batch[text]:
-                if t:
-                    seen.update(words(clean(t)))
+            seen.update(words("\n".join([clean(t) for t in batch[text] if t])))
             if len(seen) > 200_000:
                 yield pd.DataFrame({"palavra": list(seen), "n": list(seen.values())})
                 seen = Counter()
