@@ -1 +1 @@
-"""functions."""
+"""Column functions: hygiene of raw text, documents, names, labels."""

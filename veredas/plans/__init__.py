@@ -1 +1 @@
-"""plans."""
+"""The domain pipeline: edges, persons, seeds, walk, marts, graph."""
