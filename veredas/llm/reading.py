@@ -19,7 +19,8 @@ SHARES = (0.75, 0.5, 0.9)
 #: A word is frequent from this share of the corpus on, so there are at most 1/share frequent words.
 FREQUENT = 1e-5
 
-_WORD = re.compile(r"[^\W\d_]+")
+#: Runs of lower-case letters: Latin with accents, the scripts up to U+1FFF and from U+2C00 on, not the marks between.
+_WORD = re.compile("[a-zªµº\u00df-\u00f6\u00f8-\u02af\u0370-\u1fff\u2c00-\ud7ff]+")
 _TAG = re.compile(r"<[^<>]{1,200}>|&[a-z]{2,8};|https?://\S+")
 _FURNITURE = re.compile(r"(?im)^.*(?:p[áa]gina \d+ de \d+|page \d+ of \d+).*$")
 _PAGE = re.compile(r"(?i)(?:gina|page) \d+ (?:de|of) \d+")
@@ -35,7 +36,7 @@ def clean(text: str) -> str:
     text = repair(text)
     if "<" in text or "&" in text or "http" in text:
         text = _TAG.sub(" ", text)
-    if _PAGE.search(text):
+    if ("gina " in text or "GINA " in text or "age " in text or "AGE " in text) and _PAGE.search(text):
         text = _FURNITURE.sub(" ", text)
     return _BROKEN.sub("", text) if "-\n" in text else text
 
