@@ -76,7 +76,7 @@ def mutual_vias(vias: DataFrame, owns: DataFrame, keys: list[str], via: str = "v
     a = vias.select(*keys, F.col(via).alias("owner")).distinct()
     b = vias.select(*keys, F.col(via).alias("owned")).distinct()
     back = owns.select(F.col("owned").alias("owner"), F.col("owner").alias("owned"))
-    return a.join(owns.select("owner", "owned").distinct(), "owner").join(b, [*keys, "owned"]).join(back, ["owner", "owned"], "left_semi")
+    return a.join(owns.where("owner != owned").select("owner", "owned").distinct(), "owner").join(b, [*keys, "owned"]).join(back, ["owner", "owned"], "left_semi")
 
 
 def edge_ends(edges: DataFrame, nodes: DataFrame) -> DataFrame:
