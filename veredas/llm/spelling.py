@@ -27,7 +27,7 @@ NICKNAMES = {
     "NANA": "MARIANA", "NATI": "NATALIA", "TUCA": "ARTUR", "VERINHA": "VERA", "ZUZU": "ZULEICA", "WAL": "WALQUIRIA", "BENE": "BENEDITO", "DEDE": "ANDRE", "DECO": "ANDRE", "DINHO": "EDSON", "LELE": "LETICIA HELENA",
 }
 LEGAL = {
-    "SA": "SA", "LTDA": "LTDA", "LIMITADA": "LTDA", "LTD": "LTD", "CIA": "CIA", "COMPANHIA": "CIA", "EIRELI": "EIRELI", "ME": "ME", "EPP": "EPP",
+    "SA": "SA", "LTDA": "LTDA", "LIMITADA": "LTDA", "LTD": "LTD", "CIA": "SA", "COMPANHIA": "SA", "COMP": "SA", "EIRELI": "EIRELI", "ME": "ME", "EPP": "EPP",
     "LLC": "LLC", "BV": "BV", "LP": "LP", "FUND": "LP", "FD": "LP", "TRUST": "TRUST", "TR": "TRUST", "HOLDINGS": "LTD", "HLDGS": "LTD", "INC": "INC", "CORP": "INC", "SPE": "SPE", "LDA": "LTDA",
 }
 #: Activity and region words of company names; what is left over is the brand.
@@ -158,13 +158,15 @@ def parse(name: str, hint: str = "") -> tuple[str, list[str], list[str], str]:
     if hint != "p" and len(words) > 1 and words[-1] not in LEGAL:
         near = [k for k in ("LTDA", "LIMITADA", "EIRELI", "TRUST", "HOLDINGS") if apart(words[-1], k) <= 1]
         words[-1:] = near[:1] or words[-1:]
+    if hint != "p" and len(words) > 1 and len(words[0]) > 6 and apart(words[0], "COMPANHIA") <= 2:
+        words[0] = "COMPANHIA"
     if hint != "p":
         words = [part for w in words for part in _lost_space(w)]
     legal = [LEGAL[w] for w in words if w in LEGAL]
     kind = hint or ("o" if legal or any(w in GENERAL for w in words) else "p")
     if kind == "p":
         generation = next((GENERATION[w] for w in words[1:] if w in GENERATION), "")
-        tokens = [sound(w) for i, w in enumerate(words) if w not in PARTICLES and not (i and w in GENERATION)]
+        tokens = [sound(w) for i, w in enumerate(words) if w not in PARTICLES and not (i and (w in GENERATION or _like_particle(w)))]
         return ("p", tokens, [], generation) if tokens else ("x", [], [], "")
     tokens = []
     for i, w in enumerate(words):
@@ -175,6 +177,11 @@ def parse(name: str, hint: str = "") -> tuple[str, list[str], list[str], str]:
     return ("o", tokens, sorted(set(legal)), "") if tokens else ("x", [], [], "")
 
 
+def _like_particle(word: str) -> bool:
+    """A particle with a letter too many or out of place, such as DSO or DOPS."""
+    return 2 < len(word) < 5 and word[0] == "D" and any(apart(word, p, 1) <= 1 for p in ("DO", "DA", "DE", "DOS", "DAS"))
+
+
 _NICK = {sound(k): {sound(x) for x in v.split()} for k, v in NICKNAMES.items()}
 _GENERAL = frozenset(sound(w) for w in GENERAL)
 _REGIONS = frozenset(sound(w) for w in REGIONS)
@@ -252,7 +259,7 @@ def agreement(kind: str, a: list[str], b: list[str], legal_a: list[str] = (), le
             return 2, weight
         return (1 if min(ua, ub) <= 1 and len(pairs) > ua + ub - 1 else 0), weight
     if _compact_close(a, b):
-        return (2 if not (gen_a and gen_b and gen_a != gen_b) else 1), 0.95
+        return (2 if gen_a == gen_b else 1), 0.95
     pairs, ua, ub = align(a, b)
     full = [p for p in pairs if p[2] >= TYPO]
     weight = sum(s for *_, s in pairs) / (EQUAL * max(len(a), len(b)))
