@@ -8,26 +8,32 @@ from pyspark.sql import functions as F
 from ..functions.names import first_token, last_token, token_count, tokens_contained, within_edits
 
 
+def _lengths(df: DataFrame, key: str) -> list[int]:
+    """The lengths that keys have; at most as many as the longest key has characters."""
+    return sorted(r[0] for r in df.where(F.col(key).isNotNull()).select(F.length(key)).distinct().collect())
+
+
 def prefix_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """Pairs in which one key begins with the other, without comparing all pairs.
 
     A right key that begins with a left key meets it by its own leading part of
-    that length; only lengths that left keys have are cut, so the right side is
-    copied once per such length it reaches. A left key that begins with a right
-    key meets it by each of its own leading parts, the empty one included. Both
+    that length, a left key that begins with a right key likewise: each side is
+    copied once per length that the other side's keys have and it reaches. Both
     are equi-joins; equal keys are found by the first only.
 
-    Null keys find nothing; an empty right key begins every left key. Columns of
-    both sides pass through and must differ in name.
+    Null keys find nothing; an empty right key begins every left key and the
+    other way round; repeated rows give repeated pairs. Columns of both sides
+    pass through and must differ in name.
     """
-    lengths = left.where(F.col(left_key).isNotNull()).select(F.length(left_key).alias("_n")).distinct()
-    known = F.broadcast(lengths.agg(F.array_sort(F.collect_set("_n")).alias("_ns")))
-    cut_right = right.crossJoin(known).withColumn("_n", F.explode(F.filter("_ns", lambda n: n <= F.length(right_key)))).drop("_ns")
-    cut_right = cut_right.withColumn("_part", F.substring(F.col(right_key), F.lit(1), F.col("_n")))
-    longer = left.withColumn("_part", F.col(left_key)).join(cut_right, "_part").drop("_part", "_n")
-    parts = F.transform(F.sequence(F.lit(0), F.greatest(F.length(left_key) - 1, F.lit(0))), lambda n: F.substring(F.col(left_key), F.lit(1), n))
-    proper = left.where(F.length(left_key) > 0).withColumn("_part", F.explode(parts))
-    shorter = proper.join(right.withColumn("_part", F.col(right_key)), "_part").drop("_part")
+    lengths_left, lengths_right = _lengths(left, left_key), _lengths(right, right_key)
+
+    def parts(df: DataFrame, key: str, lengths: list[int], proper: bool) -> DataFrame:
+        own = F.length(key) - (1 if proper else 0)
+        reached = F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= own)
+        return df.withColumn("_n", F.explode(reached)).withColumn("_part", F.substring(F.col(key), F.lit(1), F.col("_n"))).drop("_n")
+
+    longer = left.withColumn("_part", F.col(left_key)).join(parts(right, right_key, lengths_left, False), "_part").drop("_part")
+    shorter = parts(left, left_key, lengths_right, True).join(right.withColumn("_part", F.col(right_key)), "_part").drop("_part")
     return longer.unionByName(shorter)
 
 

@@ -55,9 +55,9 @@ def latest_doc(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""select l_orderkey, l_linenumber, l_returnflag from (select *, row_number() over (partition by l_orderkey
-      order by case when l_returnflag = 'R' then 0 else 1 end, l_shipdate desc, l_linenumber) as k from lineitem) where k = 1""")
+      order by case when l_returnflag = 'R' then 0 else 1 end, l_shipdate desc, l_linenumber, l_returnflag) as k from lineitem) where k = 1""")
 def top1_total_order(spark: SparkSession, folder: str) -> DataFrame:
-    order = [F.when(F.col("l_returnflag") == "R", 0).otherwise(1), F.col("l_shipdate").desc(), F.col("l_linenumber")]
+    order = [F.when(F.col("l_returnflag") == "R", 0).otherwise(1), F.col("l_shipdate").desc(), F.col("l_linenumber"), F.col("l_returnflag")]
     return top_per_group(table(spark, folder, "lineitem"), ["l_orderkey"], order).select("l_orderkey", "l_linenumber", "l_returnflag")
 
 
@@ -466,6 +466,29 @@ def staged_ranking(spark: SparkSession, folder: str) -> DataFrame:
     return staging.stage(raw, "stg_valor_ranking", CONFIG)
 
 
+def _round_trip(spark: SparkSession, folder: str, model: str) -> DataFrame:
+    """A staged table written out as raw text, under its raw column names, and staged again."""
+    t = table(spark, folder, model)
+    raw = {source: F.col(name).cast("string").alias(source) for source, name, _ in staging.columns_of(model)}
+    return staging.stage(t.select(*raw.values()), model, CONFIG)
+
+
+def _register_round_trips() -> None:
+    for model in ("stg_rf_socio", "stg_rf_empresa", "stg_cvm_fre_posicao_acionaria", "stg_cvm_cia_aberta"):
+        def staged(spark: SparkSession, folder: str, model: str = model) -> DataFrame:
+            return _round_trip(spark, folder, model)
+
+        def same(name: str, kind: str) -> str:
+            return f"nullif({_TRIM.format(name)}, '') as {name}" if kind in ("s", "doc") else name
+
+        columns = ["ano"] * (model in staging.YEARS) + [same(name, kind) for _, name, kind in staging.columns_of(model)]
+        QUERIES[f"staged_{model[4:]}"] = staged
+        SQL[f"staged_{model[4:]}"] = f"select {', '.join(columns)} from {model}"
+
+
+_register_round_trips()
+
+
 # --- quality ------------------------------------------------------------------------
 @query("""select 'unique_cnpj' as verificacao, 'error' as severidade, (select count(*) from (select cnpj from empresas where cnpj is not null group by cnpj having count(*) > 1)) as violacoes
     union all select 'not_null_date', 'warn', (select count(*) from empresas where motivo_entrada_date is null)
