@@ -96,6 +96,15 @@ def test_matching_recovers_companies(spark):
     assert got.duplicated(["posicao", "tabela", "chave"]).sum() == 0
 
 
+def test_large_brands_are_compared_by_shared_words(spark, monkeypatch):
+    from veredas.llm import matching as m
+
+    rank, rf, cvm = tables(spark)
+    monkeypatch.setattr(m, "SISTERS", 3)
+    got = m.match_companies(rank, rf, cvm).where("confianca >= 0.5 and tabela = 'stg_rf_empresa'").toPandas()
+    assert sum(int(r.chave) == r.posicao for r in got.itertuples()) >= 36
+
+
 def test_matching_of_empty_tables(spark):
     rank, rf, cvm = tables(spark)
     assert match_companies(rank.limit(0), rf, cvm).count() == 0
