@@ -42,23 +42,27 @@ def _chase(start: DataFrame, paths: bool) -> tuple[DataFrame, DataFrame]:
     than 2^r steps existed without repeating a node, at least 2^(r-1) nodes would
     have been walking in the round before; fewer walkers than that are all cyclic.
     """
-    state = cut(start)
-    walking = state.where(~F.col("stop")).count()
-    reached, before = 1, None
+    moved = cut(start)
+    done = moved.where("stop")
+    going = moved.where(~F.col("stop"))
+    walking, reached, before = going.count(), 1, None
     while walking and not (before is not None and before < reached // 2):
-        ahead = state.select(
+        # only the walkers are written again; who has stopped stays where it was written
+        ahead = done.unionByName(going).select(
             F.col("node").alias("at"), F.col("at").alias("_at"), F.col("steps").alias("_steps"), F.col("seg").alias("_seg"), F.col("stop").alias("_stop")
         )
-        moved = lookup_join(state.where(~F.col("stop")), ahead, "at", how="inner").select(
-            "node",
-            F.col("_at").alias("at"),
-            (F.col("steps") + F.col("_steps")).alias("steps"),
-            (F.concat("seg", "_seg") if paths else F.col("seg")).alias("seg"),
-            F.col("_stop").alias("stop"),
+        moved = cut(
+            lookup_join(going, ahead, "at", how="inner").select(
+                "node",
+                F.col("_at").alias("at"),
+                (F.col("steps") + F.col("_steps")).alias("steps"),
+                (F.concat("seg", "_seg") if paths else F.col("seg")).alias("seg"),
+                F.col("_stop").alias("stop"),
+            )
         )
-        state = cut(state.where("stop").unionByName(moved))
-        before, walking, reached = walking, state.where(~F.col("stop")).count(), reached * 2
-    return state.where("stop"), state.where(~F.col("stop"))
+        done, going = done.unionByName(moved.where("stop")), moved.where(~F.col("stop"))
+        before, walking, reached = walking, going.count(), reached * 2
+    return done, going
 
 
 def _name_cycles(cyclic: DataFrame, links: DataFrame) -> DataFrame:
