@@ -57,6 +57,15 @@ def test_pages(spark, tmp_path):
         list(r.odata_pages("a", lambda u: {}))
 
 
+def test_listed_companies(spark):
+    pages = {1: {"results": [1], "page": {"totalPages": 2}}, 2: {"results": [2]}}
+    assert list(r.numbered_pages(pages.get)) == [[1], [2]]
+    with pytest.raises(ValueError):
+        list(r.numbered_pages(lambda n: {}))
+    df = spark.createDataFrame([(1, "191", "1", "a"), (2, "00.000.000/0001-91", "1", "b"), (3, "7", "2", "c"), (4, None, "1", "d")], "seq int, cnpj string, type string, name string")
+    assert [(x.cnpj, x.name) for x in r.listed_companies(df, "seq").collect()] == [("00000000000191", "b")]
+
+
 def test_fetch_retries():
     waits, calls = [], []
 
@@ -112,9 +121,13 @@ def test_requirements(spark):
 
 
 def test_frozen_graph(spark, tmp_path):
-    (tmp_path / "g.json").write_text(json.dumps({"nodes": [{"id": "1", "kind": "p"}, {"id": "1", "kind": "q"}], "edges": [{"from": "1", "to": "2", "pct": 1.5}, {"from": "1", "to": "2", "pct": 2.5}]}))
+    (tmp_path / "g.json").write_text(json.dumps({
+        "nodes": [{"id": "1", "kind": "person"}, {"id": "1", "kind": "company"}, {"id": "2", "kind": "person"}],
+        "edges": [{"from": "1", "to": "2", "kind": "person_owns", "pct_votos": 1.5}, {"from": "1", "to": "2", "kind": "company_owns", "pct_votos": 36.7}, {"from": "1", "to": "9"}, {"from": "2", "to": "1"}],
+    }))
     nodes, edges = frozen_graph(spark.read.option("multiLine", True).json(str(tmp_path / "g.json")))
-    assert nodes.first().kind == "q" and edges.first().pct == 2.5
+    assert {r.id: r.labels[0] for r in nodes.collect()} == {"1": "Empresa", "2": "Pessoa"}
+    assert {(r["from"], r["to"]): r["name"] for r in edges.collect()} == {("1", "2"): "empresa 36.7%", ("2", "1"): "owns"}
 
 
 def test_stream_of_deliveries(spark, tmp_path):

@@ -38,3 +38,10 @@ def edge_name(role: str | Column, source: str | Column, share_on: str | Column,
         .when(source == "qsa", F.lit("sem %"))
     )
     return F.concat_ws(" · ", _mapped(role, ROLES, role), F.when(source == "fre", "FRE").otherwise("QSA"), share)
+
+
+def frozen_edge_name(kind: str | Column, votes: str | Column) -> Column:
+    """Who owns, and the share of votes where it is known; an edge without kind is plain ownership."""
+    k = F.coalesce(_col(kind), F.lit("owns"))
+    who = _mapped(k, {"person_owns": "pessoa", "company_owns": "empresa"}, k)
+    return F.when(_col(votes).isNull(), who).otherwise(F.concat(who, F.lit(" "), short_number(votes), F.lit("%")))

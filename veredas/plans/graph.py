@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.graph import edge_name, node_label, relation
+from ..functions.graph import edge_name, frozen_edge_name, node_label, relation
 from ..operators.relational import top_per_group
 from ..operators.walk import simple_paths, without_incoming
+from ..sources.writers import matched_edges
 
 
 def graph_nodes(companies: DataFrame, persons: DataFrame, served: DataFrame) -> DataFrame:
@@ -86,8 +87,18 @@ def graph_checks(nodes: DataFrame, edges: DataFrame, served: DataFrame) -> DataF
 
 
 def frozen_graph(graph: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Nodes and edges of a frozen graph file (arrays ``nodes`` and ``edges``), the last of repeated ones kept."""
+    """(nodes, edges) of a frozen graph file with arrays ``nodes`` and ``edges``.
+
+    Persons and all others are told apart by kind; of repeated nodes, and of
+    repeated edges between two nodes, the last counts; edges with an end that is
+    no node are dropped.
+    """
     nodes = graph.select(F.posexplode("nodes").alias("_o", "n")).select("_o", "n.*")
     edges = graph.select(F.posexplode("edges").alias("_o", "e")).select("_o", "e.*")
-    last = [F.desc("_o")]
-    return top_per_group(nodes, ["id"], last).drop("_o"), top_per_group(edges, ["from", "to"], last).drop("_o")
+    label = F.when(F.col("kind") == "person", "Pessoa").otherwise("Empresa")
+    last_nodes = top_per_group(nodes.withColumn("labels", F.array(label)), ["id"], [F.desc("_o")]).drop("_o")
+    for missing in ("kind", "pct_votos"):
+        if missing not in edges.columns:
+            edges = edges.withColumn(missing, F.lit(None).cast("double" if missing == "pct_votos" else "string"))
+    last_edges = top_per_group(edges, ["from", "to"], [F.desc("_o")]).drop("_o").withColumn("name", frozen_edge_name("kind", "pct_votos"))
+    return last_nodes, matched_edges(last_edges, last_nodes, "from", "to", "id")

@@ -173,6 +173,25 @@ def last_arrival(df: DataFrame, key: str, arrival: str) -> DataFrame:
     return df.groupBy(key).agg(w.alias("_r")).select("_r.*")
 
 
+def numbered_pages(fetch: Callable[[int], dict]) -> Iterator[list[dict]]:
+    """The ``results`` arrays of pages 1 to the total that each page states."""
+    number, total = 1, 1
+    while number <= total:
+        page = fetch(number)
+        if not isinstance(page.get("results"), list):
+            raise ValueError(f"page {number}: no array named results")
+        yield page["results"]
+        total = int((page.get("page") or {}).get("totalPages") or 1)
+        number += 1
+
+
+def listed_companies(rows: DataFrame, arrival: str) -> DataFrame:
+    """Listed companies of type 1 with padded numbers, of each number the row that came last, by number."""
+    digits = F.regexp_replace(F.coalesce(F.col("cnpj").cast("string"), F.lit("")), "[^0-9]", "")
+    kept = rows.where((F.col("type").cast("string") == "1") & (digits != "")).withColumn("cnpj", F.lpad(digits, F.greatest(F.length(digits), F.lit(14)), F.lit("0")))
+    return last_arrival(kept, "cnpj", arrival).orderBy("cnpj")
+
+
 def partition_of(spark: SparkSession, path: str, column: str, day: str) -> DataFrame:
     """One partition of a partitioned table; the scan reads no other."""
     return spark.read.parquet(path).where(F.col(column) == F.lit(day).cast("date"))
