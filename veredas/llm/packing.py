@@ -44,7 +44,8 @@ def best_fit(sizes: Sequence[int], capacities: Sequence[int]) -> tuple[list[int]
     Items go in decreasing order into the open container with the least room that
     holds them. Where none does, the capacity of least cost is opened: the room
     that the items still to come cannot fill, per token placed, ties to the
-    smaller. At the end every container shrinks to the least capacity that holds
+    smaller. Of the items to come those that the open containers can still take
+    are not counted twice. At the end every container shrinks to the least capacity that holds
     its contents.
     """
     caps = sorted(set(capacities))
@@ -53,7 +54,7 @@ def best_fit(sizes: Sequence[int], capacities: Sequence[int]) -> tuple[list[int]
     total = [0]
     for s in ascending:
         total.append(total[-1] + s)
-    left = len(sizes)
+    left, loose = len(sizes), 0
     bins, where, room, used = _OpenBins(), [0] * len(sizes), [], []
     for i in order:
         need = sizes[i]
@@ -63,15 +64,17 @@ def best_fit(sizes: Sequence[int], capacities: Sequence[int]) -> tuple[list[int]
             options = []
             for c in caps[bisect_left(caps, need) :]:
                 spare = c - need
-                fill = min(spare, total[min(bisect_right(ascending, spare), left)])
+                fill = min(spare, max(0, total[min(bisect_right(ascending, spare), left)] - loose))
                 options.append(((spare - fill) / (need + fill or 1), c))
             c = min(options)[1]
             got = (c, len(room))
             room.append(c)
             used.append(0)
+            loose += c
         free, b = got
         where[i] = b
         used[b] += need
+        loose -= need
         bins.put(free - need, b)
     return where, [caps[bisect_left(caps, u)] for u in used]
 
