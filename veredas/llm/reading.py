@@ -18,6 +18,8 @@ from .spelling import repair
 SHARES = (0.75, 0.5, 0.9)
 #: A word is frequent from this share of the corpus on, so there are at most 1/share frequent words.
 FREQUENT = 1e-5
+#: At most about this many labelled documents calibrate, drawn by hash; up to there all labels are used.
+CALIBRATING = 200_000
 
 #: Runs of lower-case letters: Latin with accents, the scripts up to U+1FFF and from U+2C00 on, not the marks between.
 _WORD = re.compile("[a-zªµº\u00df-\u00f6\u00f8-\u02af\u0370-\u1fff\u2c00-\ud7ff]+")
@@ -60,19 +62,30 @@ def complexity(text: str, own: list[str]) -> tuple[float, float, float, float, f
     return float(_quantile(lengths, 0.5)), float(_quantile(lengths, 0.8)), sum(lengths) / len(lengths), len("".join(own)) / n, text.count(",") / n, int(english)
 
 
-def vocabulary(documents: DataFrame, text: str = "text") -> DataFrame:
-    """(palavra, n): every word of all whole texts with its count; counted per batch before the shuffle."""
+def vocabulary(documents: DataFrame, text: str = "text", by: str | None = None) -> DataFrame:
+    """(palavra, n), with ``by`` per value of that whole-number column: every word of all whole texts with its count.
+
+    Words are counted per batch before the shuffle.
+    """
+    group = by or "_all"
+    rows = documents.select(F.lit(0).alias(group) if by is None else F.col(by).cast("int").alias(by), text)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: Counter = Counter()
+        def counted() -> pd.DataFrame:
+            found = [(g, w, n) for g, c in seen.items() for w, n in c.items()]
+            return pd.DataFrame(found, columns=[group, "palavra", "n"]).astype({group: "int32", "palavra": "object", "n": "int64"})
+
+        seen: dict[int, Counter] = {}
         for batch in batches:
-            seen.update(words("\n".join([clean(t) for t in batch[text] if t])))
-            if len(seen) > 200_000:
-                yield pd.DataFrame({"palavra": list(seen), "n": list(seen.values())})
-                seen = Counter()
-        yield pd.DataFrame({"palavra": list(seen), "n": list(seen.values())}, columns=["palavra", "n"]).astype({"palavra": "object", "n": "int64"})
+            for g, part in batch.groupby(group)[text]:
+                seen.setdefault(g, Counter()).update(words("\n".join([clean(t) for t in part if t])))
+            if sum(map(len, seen.values())) > 200_000:
+                yield counted()
+                seen = {}
+        yield counted()
 
-    return documents.select(text).mapInPandas(count, "palavra string, n long").groupBy("palavra").agg(F.sum("n").alias("n"))
+    keys = [by, "palavra"] if by else ["palavra"]
+    return rows.mapInPandas(count, f"{group} int, palavra string, n long").groupBy(*keys).agg(F.sum("n").alias("n"))
 
 
 def count_ranks(counts: DataFrame) -> DataFrame:
@@ -91,38 +104,83 @@ _FEATURES = T.StructType(
     + [T.StructField(f"cobertura{i}", T.LongType()) for i in range(len(SHARES))]
     + [T.StructField(n, T.DoubleType()) for n in ("frase", "frase_longa", "frase_media", "letras", "virgulas")]
     + [T.StructField("ingles", T.IntegerType()), T.StructField("frequentes", T.LongType())]
-    + [T.StructField("raras", T.ArrayType(T.StringType()))]
+    + [T.StructField("raras", T.ArrayType(T.StringType())), T.StructField("por_nivel", T.ArrayType(T.LongType()))]
 )
 
 
-def profile(documents: DataFrame, item_id: str = "doc_id", text: str = "text") -> DataFrame:
+def single_labels(labels: DataFrame) -> DataFrame:
+    """(doc_id, nivel) of documents with one label, at most about ``CALIBRATING`` of them.
+
+    Two different labels of one document tell nothing certain.
+    """
+    votes = labels.where("nivel is not null and doc_id is not null").groupBy("doc_id").agg(F.min("nivel").alias("nivel"), F.max("nivel").alias("_other"))
+    sure = votes.where("nivel = _other").select("doc_id", F.col("nivel").cast("int").alias("nivel"))
+    share = min(1.0, CALIBRATING / max(1, sure.count()))
+    return sure.where(F.pmod(F.xxhash64(F.lit("label"), "doc_id"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
+
+
+def _ranked(counts: DataFrame, name: str) -> DataFrame:
+    """(palavra, name): the ranks of the words that make up ``FREQUENT`` of all, at most 1/FREQUENT of them."""
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return counts.where(F.col("n") >= max(1.0, FREQUENT * total)).join(count_ranks(counts), "n").select("palavra", F.col("posto").alias(name))
+
+
+def profile(documents: DataFrame, labels: DataFrame | None = None, item_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Coverage ranks and sentence complexity of every document.
 
-    ``coberturaN`` is the size of the smallest frequency-ranked vocabulary that
-    covers share ``SHARES[N]`` of the document's words. Ranks of frequent words
-    (at most ``1/FREQUENT``, whatever the corpus) are sent to the executors; only
-    documents in which a share ends among rarer words are looked up exactly, by a
-    join of their rare words with the whole ranked vocabulary.
+    ``coberturaN`` is the size of the smallest frequency-ranked vocabulary of the
+    corpus that covers share ``SHARES[N]`` of the document's words. ``por_nivel``
+    has the same for ``SHARES[0]`` in the vocabulary of the documents labelled
+    with each level, in order of level; words that a level's vocabulary lacks
+    stand behind its last. Ranks of frequent words (at most ``1/FREQUENT`` per
+    vocabulary, whatever the corpus) are sent to the executors; only documents in
+    which a share ends among rarer words of the corpus are looked up exactly, by
+    a join of their rare words with the whole ranked vocabulary.
     """
+    import numpy as np
+
     spark = documents.sparkSession
     counts = cut(vocabulary(documents, text))
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     ranks = cut(count_ranks(counts))
-    frequent = counts.where(F.col("n") >= max(1.0, FREQUENT * total)).join(ranks, "n").select("palavra", "posto")
-    known = spark.sparkContext.broadcast({r.palavra: r.posto for r in frequent.collect()})
+    tables = [_ranked(counts, "posto")]
+    if labels is not None:
+        # the bounded labels go to the documents, so no text is shuffled
+        marked = documents.select(item_id, text).join(F.broadcast(single_labels(labels).withColumnRenamed("doc_id", item_id)), item_id)
+        by_level = cut(vocabulary(marked, text, "nivel"))
+        for level in sorted(r.nivel for r in by_level.select("nivel").distinct().collect()):
+            tables.append(_ranked(by_level.where(F.col("nivel") == level).select("palavra", "n"), "posto"))
+    size, place, known = [], {}, [r for t in tables for r in [t.collect()]]
+    for words_ in known:
+        size.append(len(words_))
+        for r in words_:
+            place.setdefault(r.palavra, len(place))
+    far = np.iinfo(np.int64).max
+    postos = np.empty((len(place) + 1, len(known)), dtype=np.int64)
+    postos[:] = [far, *[n + 1 for n in size[1:]]]
+    for k, words_ in enumerate(known):
+        for r in words_:
+            postos[place[r.palavra], k] = r.posto
+    del known
+    shared = spark.sparkContext.broadcast((place, postos))
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rank = known.value
+        where, table = shared.value
+        other = len(where)
         for batch in batches:
             rows = []
             for d, t in zip(batch[item_id], batch[text]):
                 flat = clean(t) if t else ""
                 own = words(flat)
-                found = sorted(r for w in own if (r := rank.get(w)) is not None)
-                needed = [min(len(own) - 1, int(len(own) * s)) if own else -1 for s in SHARES]
-                covered = [found[k] if 0 <= k < len(found) else 0 if k < 0 else None for k in needed]
-                rare = sorted(w for w in own if w not in rank) if None in covered else None
-                rows.append((d, len(own), *covered, *complexity(flat, own), len(found), rare))
+                if not own:
+                    rows.append((d, 0, *[0] * len(SHARES), *complexity(flat, own), 0, None, [0] * (table.shape[1] - 1)))
+                    continue
+                places = [where.get(w, other) for w in own]
+                ordered = np.sort(table[places], axis=0)
+                at = [min(len(own) - 1, int(len(own) * s)) for s in SHARES]
+                covered = [None if (v := int(ordered[k, 0])) == far else v for k in at]
+                frequent = int(np.searchsorted(ordered[:, 0], far))
+                rare = sorted(w for w, p in zip(own, places) if table[p, 0] == far) if None in covered else None
+                rows.append((d, len(own), *covered, *complexity(flat, own), frequent, rare, ordered[at[0], 1:].tolist()))
             out = pd.DataFrame(rows, columns=_FEATURES.names)
             yield out.astype({f"cobertura{i}": "Int64" for i in range(len(SHARES))})
 
@@ -136,32 +194,33 @@ def profile(documents: DataFrame, item_id: str = "doc_id", text: str = "text") -
         at = F.least(F.col("palavras") - 1, F.floor(F.col("palavras") * F.lit(share))) - F.col("frequentes")
         return F.coalesce(f"cobertura{i}", F.get("_postos", at.cast("int"))).alias(f"cobertura{i}")
 
-    others = ["frase", "frase_longa", "frase_media", "letras", "virgulas", "ingles"]
+    others = ["frase", "frase_longa", "frase_media", "letras", "virgulas", "ingles", "por_nivel"]
     return both.select("doc_id", "palavras", *[covered(i, s) for i, s in enumerate(SHARES)], *others)
 
 
-_LOGS = [f"ln(1 + cobertura{i})" for i in range(len(SHARES))] + ["ln(1 + frase)", "ln(1 + frase_longa)", "ln(1 + frase_media)", "ln(1 + letras)", "ln(0.005 + virgulas)"]
+_LOGS = ["ln(1 + frase)", "ln(1 + frase_longa)", "ln(1 + frase_media)", "ln(1 + letras)", "ln(0.005 + virgulas)"]
 
 
-def calibrated(profiles: DataFrame, labels: DataFrame, rounds: int = 2, doubt: float = 0.03) -> DataFrame:
+def calibrated(profiles: DataFrame, labels: DataFrame, rounds: int = 3, doubt: float = 0.03) -> DataFrame:
     """(doc_id, nivel, confianca): the most probable level of every profiled document.
 
-    Per language and level, SQL sums over all labelled documents give the mean and
-    covariance of the logged features; a document's level maximises the normal
+    Features are the logs of the coverage rank in every level's vocabulary and of
+    the sentence measures. Per language and level, SQL sums over all labelled
+    documents give their mean and covariance; a document's level maximises the normal
     density times the level's share. Labels to which the first fit gives less than
     ``doubt`` are taken for errors and left out of the next. What reaches the
     driver is one row of sums per language and level.
     """
     import numpy as np
 
-    d = len(_LOGS)
-    x = profiles.where("palavras > 0").select("doc_id", "ingles", F.array(*[F.expr(e) for e in _LOGS]).alias("x"))
-    votes = labels.where("nivel is not null and doc_id is not null").groupBy("doc_id").agg(F.array_sort(F.collect_set("nivel")).alias("_set"))
-    # a document with two different labels tells nothing certain and is left out
-    marked = cut(x.join(votes.where("size(_set) = 1").select("doc_id", F.col("_set")[0].cast("int").alias("nivel")), "doc_id"))
+    logs = F.concat(F.transform("por_nivel", lambda v: F.log(1.0 + v)), F.array(*[F.expr(e) for e in _LOGS]))
+    x = profiles.where("palavras > 0").select("doc_id", "ingles", logs.alias("x"))
+    marked = cut(x.join(single_labels(labels), "doc_id"))
+    first = marked.first()
+    d = len(first["x"]) if first else 0
     products = [F.sum(F.col("x")[i] * F.col("x")[j]).alias(f"p{i}_{j}") for i in range(d) for j in range(i, d)]
     model: list[tuple] = []
-    for k in range(max(1, rounds)):
+    for _ in range(max(1, rounds) if first else 0):
         kept = marked if not model else _scored(marked, model).where(F.element_at("p", F.col("nivel").cast("string")) > doubt)
         sums = kept.groupBy("ingles", "nivel").agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.col("x")[i]).alias(f"s{i}") for i in range(d)], *products).collect()
         model = _normal(sums, d, np)
@@ -208,7 +267,7 @@ def _scored(x: DataFrame, model: list[tuple]) -> DataFrame:
     Every log density is a quadratic form, so it is the inner product of fixed
     coefficients with the products of two features, evaluated in SQL.
     """
-    d = len(_LOGS)
+    d = len(model[0][3])
     pairs = [(i, j) for i in range(d) for j in range(i, d)]
     coefficients: dict[int, list[str]] = {0: [], 1: []}
     for e, _, weight, mean, inverse, det in model:
@@ -234,7 +293,7 @@ def reading_levels(documents: DataFrame, labels: DataFrame, item_id: str = "doc_
     without labels the level is null; documents with two different labels do not
     calibrate; any length of text is read whole; further columns are never read.
     """
-    profiles = profile(documents, item_id, text)
+    profiles = profile(documents, labels, item_id, text)
     levels = calibrated(profiles.dropDuplicates(["doc_id"]), labels)
     seen = profiles.where("palavras > 0").select("doc_id", F.col("cobertura0").alias("cobertura"), "palavras", "frase")
     return seen.join(levels, "doc_id")
