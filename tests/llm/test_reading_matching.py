@@ -105,6 +105,15 @@ def test_large_brands_are_compared_by_shared_words(spark, monkeypatch):
     assert sum(int(r.chave) == r.posicao for r in got.itertuples()) >= 36
 
 
+def test_matching_with_long_names(spark):
+    rank, rf, cvm = tables(spark)
+    long_ = " ".join("".join(chr(65 + (i * k) % 26) for k in range(1, 8)) for i in range(2000))
+    extra = spark.createDataFrame([(7001, long_, long_ + " SA", None, None, 1), (7002, "B" * 60_000, None, None, None, 1)], rank.schema)
+    more = spark.createDataFrame([("77777777", long_ + " S.A."), ("77777778", "B" * 60_000)], rf.schema)
+    got = match_companies(rank.unionByName(extra), rf.unionByName(more), cvm).toPandas()
+    assert ((got.posicao == 7001) & (got.chave == "77777777")).any()
+
+
 def test_matching_of_empty_tables(spark):
     rank, rf, cvm = tables(spark)
     assert match_companies(rank.limit(0), rf, cvm).count() == 0

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from functools import lru_cache
+from itertools import combinations
 
 # --- fixed values -----------------------------------------------------------
 PARTICLES = frozenset("DE DA DO DOS DAS E DI DEL D".split())
@@ -186,6 +187,8 @@ _NICK = {sound(k): {sound(x) for x in v.split()} for k, v in NICKNAMES.items()}
 _GENERAL = frozenset(sound(w) for w in GENERAL)
 _REGIONS = frozenset(sound(w) for w in REGIONS)
 
+#: Names of more tokens than this, and pairs of names with more pairs of tokens, are handled as long texts.
+LONG_NAME, LONG_PAIRS = 12, 4_000
 #: strength of one aligned token
 EQUAL, TYPO, NICK, CUT, INITIAL = 4, 3, 3, 2, 1
 
@@ -217,7 +220,16 @@ def _subsequence(short: str, long_: str) -> bool:
 
 
 def align(a: list[str], b: list[str], abbreviations: bool = False) -> tuple[list[tuple[int, int, int]], int, int]:
-    """Greedy best pairing of tokens: [(i, j, strength)], unpaired of a, unpaired of b."""
+    """Greedy best pairing of tokens: [(i, j, strength)], unpaired of a, unpaired of b.
+
+    Texts far longer than names (over ``LONG_PAIRS`` pairs of tokens) are paired by equal tokens only.
+    """
+    if len(a) * len(b) > LONG_PAIRS:
+        places: dict[str, list[int]] = {}
+        for j, y in enumerate(b):
+            places.setdefault(y, []).append(j)
+        equal = [(i, places[x].pop(0), EQUAL) for i, x in enumerate(a) if places.get(x)]
+        return equal, len(a) - len(equal), len(b) - len(equal)
     pairs = sorted(((s, -abs(i - j), i, j) for i, x in enumerate(a) for j, y in enumerate(b) if (s := alike(x, y, abbreviations))), reverse=True)
     left, right, out = set(range(len(a))), set(range(len(b))), []
     for s, _, i, j in pairs:
@@ -297,8 +309,8 @@ def _legal_fits(a: list[str], b: list[str]) -> bool:
 
 
 def _shorter(token: str) -> list[str]:
-    """The token and, from five letters on, every form with one letter left out."""
-    return [token] if len(token) < 5 else [token, *{token[:i] + token[i + 1 :] for i in range(len(token))}]
+    """The token and, from five letters on (up to 40), every form with one letter left out."""
+    return [token] if not 5 <= len(token) <= 40 else [token, *{token[:i] + token[i + 1 :] for i in range(len(token))}]
 
 
 def _rest(tokens: list[str], used: tuple[int, ...]) -> list[str]:
@@ -313,9 +325,17 @@ def block_keys(kind: str, tokens: list[str]) -> list[str]:
     Organisations: a brand token with at most one letter out, and the initials of
     the rest with at most one out. Persons: two tokens and the rest's initials;
     with two or three tokens also one whole token and the other with a letter out.
-    Every name also has its letters in sorted-token order, against lost spaces.
+    Every name also has all its letters, against lost spaces. Names of over
+    ``LONG_NAME`` tokens go by their longest ones, without the rest.
     """
     keys = {f"{kind}:=" + "".join(tokens)}
+    if len(tokens) > LONG_NAME:
+        longest = sorted(set(tokens), key=lambda t: (-len(t), t))[:LONG_NAME]
+        if kind == "o":
+            keys.update(f"o:{v}/#" for t in longest for v in _shorter(t))
+        else:
+            keys.update(f"p:{a}+{b}/#" for a, b in combinations(sorted(longest), 2))
+        return list(keys)
     if kind == "o":
         for i, t in enumerate(tokens):
             if t in brand_first(tokens):
