@@ -9,13 +9,13 @@ from .operators.hierarchy import descendants, resolve_hierarchy
 from .operators.history import build_store, state_as_of, validity
 from .operators.references import orphan_references, parent_intervals
 from .operators.snapshots import snapshot_changes
-from .session import cut
+from .session import cut, reachable
 
 CITATION = r"id_documento=(\d+)$"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return reachable(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
 def _partners(spark: SparkSession, folder: str) -> DataFrame:
