@@ -4,7 +4,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from veredas.llm import reading as rd
-from veredas.llm.matching import BANDS, bands_of, match_companies
+from veredas.llm.matching import BANDS, bands_of, candidates, company_name, match_companies, near_keys
 from veredas.llm.reading import calibrated, clean, profile, reading_levels, words
 
 DOCS = "doc_id long, text string, source string"
@@ -129,3 +129,33 @@ def test_bands_recall_of_near_brands(spark):
     assert all(len(k) <= BANDS for k in keys.values())
     met = [bool(keys[b] & keys[b[:i] + b[i + 1 :]]) for b, i in product(BRANDS, (2, 4))]
     assert sum(met) / len(met) >= 0.9
+
+
+def met(spark, typed, registered):
+    """The registered names that each typed name meets."""
+    none = F.lit(None).cast("string")
+    q = spark.createDataFrame([(i, n) for i, n in enumerate(typed)], "posicao long, _short_text string").withColumn("_long_text", none)
+    q = q.withColumn("_short", company_name("_short_text")).withColumn("_long", company_name("_long_text"))
+    r = spark.createDataFrame([(str(i), n) for i, n in enumerate(registered)], "ent string, _alias string").withColumn("_name", company_name("_alias"))
+    got = candidates(q, "posicao", r, "ent").collect()
+    return {n: {x._alias for x in got if x.posicao == i} for i, n in enumerate(typed)}
+
+
+def test_brands_two_letters_off_or_swapped_are_candidates(spark):
+    registered = ["NOFUZU ENERGIA SA", "DABEKON SA", "TIRVO LTDA", "BELAMON TEXTIL", "QUIMERA BANCO SA"]
+    got = met(spark, ["Noufzu Energia", "DBAEKON", "Trivo", "Belomin", "Qumiear"], registered)
+    assert [registered[i] in g for i, g in enumerate(got.values())] == [True] * 5
+
+
+def test_near_keys_are_exact():
+    from veredas.llm.spelling import apart
+
+    rnd = random.Random(5)
+    for n in range(2, 40):
+        for _ in range(60):
+            b = c = "".join(rnd.choices("ABCDEFG", k=n))
+            for _ in range(2):
+                i = rnd.randrange(len(c))
+                c = rnd.choice([c[:i] + c[i + 1 :], c[:i] + rnd.choice("XYA") + c[i:], c[:i] + rnd.choice("XYA") + c[i + 1 :], c[:i] + c[i : i + 2][::-1] + c[i + 2 :]]) or "A"
+            if len(c) > 1 and apart(b, c) <= (1 if n < 6 else 2):
+                assert near_keys(b, True) & near_keys(c, False), (b, c)
