@@ -298,8 +298,11 @@ def same_bearer(kind: str, a: list[str], b: list[str], *more) -> bool:
     Half a document leaves room for strangers, so the names must be compatible or
     share half their letter trigrams.
     """
-    if agreement(kind, a, b, *more)[0]:
-        return True
+    return bool(agreement(kind, a, b, *more)[0]) or share_trigrams(a, b)
+
+
+def share_trigrams(a: list[str], b: list[str]) -> bool:
+    """Half of all trigrams, or 0.7 of the shorter name's; so two thirds of the smaller set are shared at least."""
     x, y = trigrams(a), trigrams(b)
     return 2 * len(x & y) >= len(x) + len(y) - len(x & y) or len(x & y) >= 0.7 * min(len(x), len(y))
 
