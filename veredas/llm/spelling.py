@@ -100,18 +100,27 @@ def apart(a: str, b: str, most: int = 2) -> int:
     a, b = a[i : len(a) - j], b[i : len(b) - j]
     if not a or not b:
         return min(max(len(a), len(b)), most + 1)
-    if min(len(a), len(b)) > 2 * most + 3:
-        return most + 1
-    before, row = None, list(range(len(b) + 1))
+    # cells further than ``most`` from the diagonal are larger than it
+    far, n = most + 1, len(b)
+    before, row = None, [min(y, far) for y in range(n + 1)]
+    older = [far] * (n + 1)
     for x in range(1, len(a) + 1):
-        new = [x]
-        for y in range(1, len(b) + 1):
-            d = min(row[y] + 1, new[y - 1] + 1, row[y - 1] + (a[x - 1] != b[y - 1]))
+        low, high = max(1, x - most), min(n, x + most)
+        new, older = older, before or [far] * (n + 1)
+        new[low - 1] = x if low == 1 and x <= most else far
+        least = new[low - 1]
+        for y in range(low, high + 1):
+            d = min(row[y] + 1, new[y - 1] + 1, row[y - 1] + (a[x - 1] != b[y - 1]), far)
             if before is not None and y > 1 and a[x - 1] == b[y - 2] and a[x - 2] == b[y - 1]:
                 d = min(d, before[y - 2] + 1)
-            new.append(d)
+            new[y] = d
+            least = min(least, d)
+        if high < n:
+            new[high + 1] = far
+        if least > most:
+            return far
         before, row = row, new
-    return min(row[-1], most + 1)
+    return min(row[-1], far)
 
 
 def tolerance(n: int) -> int:
