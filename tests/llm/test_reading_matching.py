@@ -159,3 +159,12 @@ def test_near_keys_are_exact():
                 c = rnd.choice([c[:i] + c[i + 1 :], c[:i] + rnd.choice("XYA") + c[i:], c[:i] + rnd.choice("XYA") + c[i + 1 :], c[:i] + c[i : i + 2][::-1] + c[i + 2 :]]) or "A"
             if len(c) > 1 and apart(b, c) <= (1 if n < 6 else 2):
                 assert near_keys(b, True) & near_keys(c, False), (b, c)
+
+
+def test_a_brand_of_many_aliases_is_met_without_a_shared_word(spark, monkeypatch):
+    from veredas.llm import matching as m
+
+    monkeypatch.setattr(m, "SISTERS", 2)
+    registered = ["BELAMON ENERGIA SA", "BELAMON ALIMENTOS SA", "BELAMON SEGUROS LTDA", "BELAMON"]
+    got = met(spark, ["Belamon", "Belamon Mineracao", "Belamon Energia"], registered)
+    assert list(got.values()) == [set(registered)] * 3
