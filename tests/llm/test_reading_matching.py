@@ -96,13 +96,19 @@ def test_matching_recovers_companies(spark):
     assert got.duplicated(["posicao", "tabela", "chave"]).sum() == 0
 
 
-def test_large_brands_are_compared_by_shared_words(spark, monkeypatch):
-    from veredas.llm import matching as m
+def test_reliability_counts_the_held_out_companies(spark):
+    from veredas.llm.matching import reliability
 
+    got = reliability(*tables(spark)).toPandas()
+    assert len(got) and got.n.sum() > 0 and got.certos.between(0, 1).all() and got.confianca.between(0, 1).all()
+
+
+def test_a_trade_name_of_its_own_is_an_alias(spark):
     rank, rf, cvm = tables(spark)
-    monkeypatch.setattr(m, "SISTERS", 3)
-    got = m.match_companies(rank, rf, cvm).where("confianca >= 0.5 and tabela = 'stg_rf_empresa'").toPandas()
-    assert sum(int(r.chave) == r.posicao for r in got.itertuples()) >= 36
+    more = spark.createDataFrame([("888888", "00000001000100", "BELAMON ENERGIA LTDA", "Marca Xilopan", None, None)], cvm.schema)
+    asked = spark.createDataFrame([(8001, "Marca Xilopan", None, None, None, 1)], rank.schema)
+    got = match_companies(rank.unionByName(asked), rf, cvm.unionByName(more)).where("posicao = 8001").collect()
+    assert ("stg_rf_empresa", "00000001") in {(r.tabela, r.chave) for r in got}
 
 
 def test_matching_with_long_names(spark):
@@ -161,10 +167,7 @@ def test_near_keys_are_exact():
                 assert near_keys(b, True) & near_keys(c, False), (b, c)
 
 
-def test_a_brand_of_many_aliases_is_met_without_a_shared_word(spark, monkeypatch):
-    from veredas.llm import matching as m
-
-    monkeypatch.setattr(m, "SISTERS", 2)
+def test_a_brand_of_many_aliases_is_met_without_a_shared_word(spark):
     registered = ["BELAMON ENERGIA SA", "BELAMON ALIMENTOS SA", "BELAMON SEGUROS LTDA", "BELAMON"]
     got = met(spark, ["Belamon", "Belamon Mineracao", "Belamon Energia"], registered)
     assert list(got.values()) == [set(registered)] * 3

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import reachable
-from .matching import match_companies
+from .matching import match_companies, reliability
 from .mixing import mixed, report
 from .names import link_spellings, name_pairs
 from .packing import packed, usage
@@ -82,6 +82,11 @@ def p6_confianca(spark: SparkSession, folder: str) -> DataFrame:
     return match_companies(table(spark, folder, "stg_valor_ranking"), table(spark, folder, "stg_rf_empresa"), table(spark, folder, "stg_cvm_cia_aberta"))
 
 
+def p6_calibracao(spark: SparkSession, folder: str) -> DataFrame:
+    """How often the confidence is right, by tenth, on held-out listed companies."""
+    return reliability(table(spark, folder, "stg_valor_ranking"), table(spark, folder, "stg_rf_empresa"), table(spark, folder, "stg_cvm_cia_aberta"))
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return p6_confianca(spark, folder).where(F.col("confianca") >= ACCEPTED).select("posicao", "tabela", "chave")
 
@@ -125,7 +130,7 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return levels.join(asked.select("doc_id"), "doc_id", "left_semi").join(labels.select("doc_id"), "doc_id", "left_anti")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_grupos, p3_found, p3_sobreviventes, p6_found, p6_confianca, p8_empacotados, p8_aproveitamento, p9_misturas, p9_participacoes, p10_found, p10_niveis)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_grupos, p3_found, p3_sobreviventes, p6_found, p6_confianca, p6_calibracao, p8_empacotados, p8_aproveitamento, p9_misturas, p9_participacoes, p10_found, p10_niveis)}
 
 _P3 = """with r as (select *, case fonte when 'fre' then 0 when 'qsa' then 1 else 2 end as ordem from vinculos
       where origem_id is not null and cnpj is not null),
