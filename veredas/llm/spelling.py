@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Mapping
 from functools import lru_cache
 from itertools import combinations
 
@@ -198,6 +199,8 @@ _REGIONS = frozenset(sound(w) for w in REGIONS)
 
 #: Names of more tokens than this, and pairs of names with more pairs of tokens, are handled as long texts.
 LONG_NAME, LONG_PAIRS = 12, 4_000
+#: A given name is known from this many names on; two are told apart if neither is this many times commoner.
+LEAST_GIVEN, COMMONER = 5, 50
 #: strength of one aligned token
 EQUAL, TYPO, NICK, CUT, INITIAL = 4, 3, 3, 2, 1
 
@@ -249,11 +252,13 @@ def align(a: list[str], b: list[str], abbreviations: bool = False) -> tuple[list
     return out, len(left), len(right)
 
 
-def _compact_close(a: list[str], b: list[str]) -> bool:
+def _compact_distance(a: list[str], b: list[str]) -> int:
+    """Letters between two names written without spaces, in the order typed or with their words sorted; 3 stands for more than two."""
     x, y = "".join(a), "".join(b)
     if min(len(x), len(y)) < 8:
-        return x == y
-    return apart(x, y) <= 2 or apart("".join(sorted(a)), "".join(sorted(b))) <= 2
+        return 0 if x == y else 3
+    far = apart(x, y)
+    return far if not far else min(far, apart("".join(sorted(a)), "".join(sorted(b))))
 
 
 def brand_first(tokens: list[str]) -> list[str]:
@@ -261,8 +266,28 @@ def brand_first(tokens: list[str]) -> list[str]:
     return own or tokens[:1]
 
 
-def agreement(kind: str, a: list[str], b: list[str], legal_a: list[str] = (), legal_b: list[str] = (), gen_a: str = "", gen_b: str = "") -> tuple[int, float]:
-    """(level, share): level 2 the names agree in full, 1 they are compatible, 0 they are not."""
+def two_given_names(a: list[str], b: list[str], given: Mapping[str, int]) -> bool:
+    """Whether tokens that pass for misspellings of each other are two given names in their own right.
+
+    ``given`` has how many names begin with a token. A misspelling is far rarer
+    than the name it stands for, so both must be usual.
+    """
+    for i, j, s in align(a, b)[0]:
+        if s == TYPO and a[i] != b[j]:
+            rare, usual = sorted((given.get(a[i], 0), given.get(b[j], 0)))
+            if rare >= LEAST_GIVEN and rare * COMMONER >= usual:
+                return True
+    return False
+
+
+def agreement(
+    kind: str, a: list[str], b: list[str], legal_a: list[str] = (), legal_b: list[str] = (), gen_a: str = "", gen_b: str = "", given: Mapping[str, int] | None = None
+) -> tuple[int, float]:
+    """(level, share): level 2 the names agree in full, 1 they are compatible, 0 they are not.
+
+    The same letters in the same order have share 1. Persons of whom one given name
+    is turned into another one by a letter (``given``) never agree in full.
+    """
     if not a or not b:
         return 0, 0.0
     if kind == "o":
@@ -272,22 +297,23 @@ def agreement(kind: str, a: list[str], b: list[str], legal_a: list[str] = (), le
         brand = any(a[i] in brands_a and b[j] in brands_b for i, j in strong)
         weight = sum(s for *_, s in pairs) / (EQUAL * max(len(a), len(b)))
         digits = {t for t in a if t.isdigit()} == {t for t in b if t.isdigit()}
-        if _compact_close(a, b) and digits:
-            return (2 if _legal_fits(legal_a, legal_b) else 1), max(weight, 0.9)
+        if digits and (far := _compact_distance(a, b)) <= 2:
+            return (2 if _legal_fits(legal_a, legal_b) else 1), max(weight, 0.9 if far else 1.0)
         if not brand:
             return 0, weight
         if not ua and not ub and _legal_fits(legal_a, legal_b):
             return 2, weight
         return (1 if min(ua, ub) <= 1 and len(pairs) > ua + ub - 1 else 0), weight
-    if _compact_close(a, b):
-        return (2 if gen_a == gen_b else 1), 0.95
+    if (far := _compact_distance(a, b)) <= 2:
+        full = gen_a == gen_b and not (far and given and two_given_names(a, b, given))
+        return (2 if full else 1), (1.0 if a == b or "".join(a) == "".join(b) else 0.97 - 0.01 * far)
     pairs, ua, ub = align(a, b)
     full = [p for p in pairs if p[2] >= TYPO]
     weight = sum(s for *_, s in pairs) / (EQUAL * max(len(a), len(b)))
     if gen_a and gen_b and gen_a != gen_b:
         return 0, weight
     if not ua and not ub and len(full) >= 2 and gen_a == gen_b:
-        return 2, weight
+        return (1 if given and two_given_names(a, b, given) else 2), weight
     least = min(ua, ub)
     if least == 0 and full and (len(full) >= 2 or any(len(a[i]) > 4 and len(b[j]) > 4 for i, j, _ in full) and len(pairs) >= 2):
         return 1, weight
