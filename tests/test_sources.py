@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from veredas.operators.quality import require_count, require_rows
 from veredas.plans.graph import frozen_graph
-from veredas.plans.staging import schema_of
+from veredas.plans.staging import schema_of, stage
 from veredas.sources import readers as r
 from veredas.sources import writers as w
 from veredas.streaming import land, staged_stream
@@ -140,3 +140,73 @@ def test_stream_of_deliveries(spark, tmp_path):
     out = spark.read.parquet(str(tmp_path / "out"))
     assert sorted((x.id_cnpj or "", x.nome) for x in out.collect()) == [("", "Outra"), ("00000000000191", "Banco")]
     assert [f.dataType for f in out.schema] == [f.dataType for f in schema_of("stg_susep_dado_cadastral")]
+
+
+def test_latin_files_keep_their_columns(spark, tmp_path):
+    text = list(line())
+    for at, v in ((28, "AÇÃO PRÓXIMA"), (40, "PNÇ")):
+        text[at - 1 : at - 1 + len(v)] = v
+    (tmp_path / "q.txt").write_bytes("".join(text).encode("latin-1") + b"\n")
+    assert tuple(r.read_quotations(spark, str(tmp_path / "q.txt")).first()) == ("20260111", "02", "PETR4", "010", "0000000003670", "00012")
+    (tmp_path / "h.csv").write_bytes('Razão;"Situação; atual"\nÁgua Fé;ç\n'.encode("latin-1"))
+    df = r.read_strings(spark, r.CsvSource("t", "cvm", str(tmp_path / "h.csv"), "ISO-8859-1", ";"))
+    assert df.columns == ["Razão", "Situação; atual"] and tuple(df.first()) == ("Água Fé", "ç")
+    (tmp_path / "u.csv").write_bytes("﻿Razão,b\nx,\n".encode())
+    df = r.read_strings(spark, r.CsvSource("t", "b3", str(tmp_path / "u.csv")))
+    assert df.columns == ["Razão", "b"] and tuple(df.first()) == ("x", None)
+    (tmp_path / "e.csv").write_bytes(b"")
+    assert r.read_strings(spark, r.CsvSource("t", "b3", str(tmp_path / "e.csv"))).count() == 0
+
+
+def test_missing_raw_columns_fail(spark):
+    raw = spark.createDataFrame([("191", "Banco")], "entcgc string, entnome string")
+    with pytest.raises(ValueError, match="no raw column mercodigo"):
+        stage(raw, "stg_susep_dado_cadastral")
+    assert tuple(stage(raw, "stg_susep_dado_cadastral", optional=["mercodigo"]).first()) == (stage(raw, "stg_susep_dado_cadastral", optional=["mercodigo"]).first().ano, "00000000000191", "Banco", None)
+
+
+def test_required_files_and_rebuilt_manifest(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x\n")
+    with pytest.raises(FileNotFoundError, match="b .*b.csv"):
+        r.required_files({"a": str(tmp_path / "a.csv"), "b": str(tmp_path / "b.csv")}, str(tmp_path / "to"))
+    assert not (tmp_path / "to").exists()
+    assert r.required_files({"a": str(tmp_path / "a.csv")}, str(tmp_path / "to")) == {"a": str(tmp_path / "to" / "a.csv")}
+    assert (tmp_path / "to" / "a.csv").read_text() == "x\n"
+    w.write_table(spark.range(3).toDF("k"), str(tmp_path), "raw", "t1", cluster_by=["k"])
+    w.write_table(spark.range(0).toDF("k"), str(tmp_path), "raw", "t2")
+    got = w.manifest_of_layer(spark, str(tmp_path), "raw", {"t1": {"source_url": "u", "as_of_date": "2026-01-11"}}).collect()
+    assert [(x.table, x.row_count, x.source_url) for x in got] == [("t1", 3, "u"), ("t2", 0, None)]
+    found = r.source_registry("/x", {"cad_cia_aberta": "2026-08-08"}, {"cad_cia_aberta": "https://example.org/cad.csv"})
+    assert (found["cad_cia_aberta"].as_of_date, found["cad_cia_aberta"].source_url, found["bancos_2025"].as_of_date) == ("2026-08-08", "https://example.org/cad.csv", "")
+
+
+def test_files_of_a_partition_have_narrow_ranges(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    df = spark.range(4000).selectExpr("id % 2 as p", "id as k")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        path = w.write_table(df.repartition(8), str(tmp_path), "staging", "t", ["p"], ["k"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = list((tmp_path / "staging" / "t" / "p=0").glob("*.parquet"))
+    assert path.endswith("t") and len(files) > 1
+    spans = sorted((s.min, s.max) for f in files for s in [pq.ParquetFile(f).metadata.row_group(0).column(0).statistics])
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_the_shared_folder_is_made_up_for_local_masters_only(monkeypatch):
+    from veredas import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = type("Conf", (), {"get": staticmethod(lambda name, default=None: default)})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(Session())

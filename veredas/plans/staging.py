@@ -9,7 +9,7 @@ a number only where all 14 digits are there, ``p2`` and ``p4`` padded codes.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -150,9 +150,15 @@ def schema_of(model: str) -> T.StructType:
     return T.StructType(year + [T.StructField(name, TYPES[kind][1]) for _, name, kind in columns_of(model)])
 
 
-def stage(raw: DataFrame, model: str, config: Config = Config()) -> DataFrame:
-    """A raw table, all text, as its typed model. A raw column that is missing is null; others are not read."""
+def stage(raw: DataFrame, model: str, config: Config = Config(), optional: Collection[str] = ()) -> DataFrame:
+    """A raw table, all text, as its typed model; columns that the model does not name are not read.
+
+    A raw column that is missing fails, unless it is among ``optional``: then it is null.
+    """
     there = set(raw.columns)
+    missing = sorted({s for s, _, _ in columns_of(model)} - there - set(optional))
+    if missing:
+        raise ValueError(f"{model}: no raw column {', '.join(missing)}")
     out = [F.lit(getattr(config, YEARS[model])).cast("long").alias("ano")] if model in YEARS else []
     for source, name, kind in columns_of(model):
         column = F.col(f"`{source}`") if source in there else F.lit(None).cast("string")

@@ -44,13 +44,16 @@ def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder of the session.
 
     A cluster names it in ``spark.checkpoint.dir``. Only where that setting is
-    missing (tests, a laptop) a temporary folder is made and set.
+    missing and all runs in one process (``local`` masters: tests, a laptop) a
+    temporary folder is made and set; executors elsewhere could not read it.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not (context.master == "local" or context.master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     context.setCheckpointDir(named or tempfile.mkdtemp(prefix="veredas-"))
     return context.getCheckpointDir()
 

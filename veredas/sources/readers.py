@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import csv
 import io
+import shutil
 import time
 import urllib.request
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
+from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,23 +42,40 @@ RAW_TABLES = {
 }
 
 
-def source_registry(root: str, as_of: str = "") -> dict[str, CsvSource]:
-    """One source per delimited raw table under ``root``; the registry's own tables come as partitioned files."""
+def source_registry(root: str, as_of: str | Mapping[str, str] = "", urls: Mapping[str, str] | None = None) -> dict[str, CsvSource]:
+    """One source per delimited raw table under ``root``; the registry's own tables come as partitioned files.
+
+    ``as_of`` is one date for all or a date per table, ``urls`` has where each table was taken from.
+    """
+    dated = as_of if isinstance(as_of, Mapping) else dict.fromkeys((t for ts in RAW_TABLES.values() for t in ts), as_of)
     out = {}
     for origin, tables in RAW_TABLES.items():
         if origin == "rf":
             continue
         for t in tables:
             old = origin in ("cvm", "susep")
-            out[t] = CsvSource(t, origin, f"{root}/{origin}/{t}.csv", "ISO-8859-1" if old else "UTF-8", ";" if old else ",", "", as_of)
+            out[t] = CsvSource(t, origin, f"{root}/{origin}/{t}.csv", "ISO-8859-1" if old else "UTF-8", ";" if old else ",", (urls or {}).get(t, ""), dated.get(t, ""))
     return out
 
 
+def required_files(files: Mapping[str, str], folder: str) -> dict[str, str]:
+    """Copies the named files into ``folder`` and returns their new paths; if any is missing nothing is copied and all that miss are named."""
+    missing = sorted(f"{name} ({path})" for name, path in files.items() if not Path(path).is_file())
+    if missing:
+        raise FileNotFoundError("missing: " + ", ".join(missing))
+    Path(folder).mkdir(parents=True, exist_ok=True)
+    return {name: str(shutil.copyfile(path, Path(folder) / Path(path).name)) for name, path in files.items()}
+
+
 def header_of(content: bytes, encoding: str, delimiter: str) -> list[str]:
     """Column names of a delimited file; a byte-order mark goes, a blank name becomes ``_col_N``."""
     text = content.decode("utf-8-sig" if encoding.upper().replace("-", "") == "UTF8" else encoding, errors="replace").lstrip("﻿")
-    names = next(csv.reader(io.StringIO(text), delimiter=delimiter), [])
-    return [n.strip() or f"_col_{i}" for i, n in enumerate(names)]
+    return column_names(next(csv.reader(io.StringIO(text), delimiter=delimiter), []))
+
+
+def column_names(header: list[str]) -> list[str]:
+    """The fields of a header line as column names; a byte-order mark goes, a blank name becomes ``_col_N``."""
+    return [n.lstrip("\ufeff").strip() or f"_col_{i}" for i, n in enumerate(header)]
 
 
 def file_digests(spark: SparkSession, path: str) -> DataFrame:
@@ -66,15 +85,17 @@ def file_digests(spark: SparkSession, path: str) -> DataFrame:
 
 def read_strings(spark: SparkSession, source: CsvSource, names: list[str] | None = None) -> DataFrame:
     """A delimited file with every column as text. Quoted line breaks and short rows are allowed."""
+
+    def reader():
+        out = spark.read.option("sep", source.delimiter).option("encoding", source.encoding).option("quote", '"').option("escape", '"')
+        return out.option("multiLine", True).option("mode", "PERMISSIVE")
+
     if names is None:
-        first = spark.read.text(source.path, lineSep="\n").limit(1) if source.encoding.upper() == "UTF-8" else spark.read.option("encoding", source.encoding).text(source.path).limit(1)
-        line = first.collect()
-        names = header_of(line[0][0].encode("utf-8"), "UTF-8", source.delimiter) if line else []
+        # the same reader decodes the header and the rows
+        first = reader().option("header", False).csv(source.path).limit(1).collect()
+        names = column_names(["" if n is None else n for n in first[0]] if first else [])
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return (
-        spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("sep", source.delimiter).option("encoding", source.encoding)
-        .option("multiLine", True).option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE").csv(source.path)
-    )
+    return reader().schema(schema).option("header", True).option("enforceSchema", True).csv(source.path)
 
 
 #: Columns of the quotation line, 1-based start and length.
@@ -86,11 +107,19 @@ def fixed_width(lines: DataFrame, fields: dict[str, tuple[int, int]], keep: Colu
     return lines.where((F.length("value") >= least) & keep).select(*[F.trim(F.substring("value", at, n)).alias(name) for name, (at, n) in fields.items()])
 
 
+def latin_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(value): the lines of ISO-8859-1 files, one character per byte, so that columns stay where they are.
+
+    The text source takes lines as UTF-8 and leaves their bytes alone; they are decoded in the plan, and files stay splittable.
+    """
+    return spark.read.text(path).select(F.decode(F.col("value").cast("binary"), "ISO-8859-1").alias("value"))
+
+
 def read_quotations(spark: SparkSession, path: str) -> DataFrame:
     """Cash-market quotation lines of round lots."""
     at = lambda start, n: F.substring("value", start, n)
     wanted = (at(1, 2) == "01") & (at(11, 2) == "02") & (at(25, 3) == "010")
-    return fixed_width(spark.read.option("encoding", "ISO-8859-1").text(path), QUOTATION, wanted, 152)
+    return fixed_width(latin_lines(spark, path), QUOTATION, wanted, 152)
 
 
 def zip_members(spark: SparkSession, path: str, member: str) -> DataFrame:

@@ -6,7 +6,7 @@ import json
 from collections.abc import Mapping, Sequence
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,10 +30,11 @@ def write_table(
     if schema is not None and (wrong := contract(df, schema)):
         raise ValueError(f"{layer}.{name}: " + "; ".join(wrong))
     out = df
-    if partition_by:
-        out = out.repartition(*partition_by, *cluster_by)
-    elif cluster_by:
-        out = out.repartitionByRange(*cluster_by)
+    if cluster_by:
+        # by range, so that each file has a narrow span of the cluster columns
+        out = out.repartitionByRange(*partition_by, *cluster_by)
+    elif partition_by:
+        out = out.repartition(*partition_by)
     if cluster_by:
         out = out.sortWithinPartitions(*partition_by, *cluster_by)
     path = f"{root}/{layer}/{name}"
@@ -44,10 +45,12 @@ def write_table(
 
 def write_csv(df: DataFrame, path: str, fields: Sequence[str], sort: Sequence[str]) -> int:
     """Named columns as text sorted by ``sort`` (null as empty); other columns are left out. Returns the rows."""
+    seen = Observation()
     text = df.select(*[F.col(c).cast("string").alias(c) for c in fields])
     ordered = text.orderBy(*[F.coalesce(c, F.lit("")) for c in sort])
-    ordered.write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
-    return df.count()
+    # counted as it is written; the sort may sample its input, so the count stands above it
+    ordered.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
+    return seen.get["n"]
 
 
 def manifest(spark: SparkSession, rows: Sequence[Mapping]) -> DataFrame:
@@ -56,6 +59,18 @@ def manifest(spark: SparkSession, rows: Sequence[Mapping]) -> DataFrame:
     return spark.createDataFrame([tuple(r.get(k) for k in ("table", "source_url", "as_of_date", "uri", "sha256", "row_count")) for r in rows], schema).withColumn("loaded_at", F.current_timestamp())
 
 
+def manifest_of_layer(spark: SparkSession, root: str, layer: str, known: Mapping[str, Mapping] | None = None) -> DataFrame:
+    """The manifest rebuilt from the tables that stand in ``root/layer``, without loading anything again.
+
+    Rows are counted from the files; ``known`` gives source_url, as_of_date and sha256 per table where they are known.
+    """
+    rows = []
+    for folder in sorted(p for p in (Path(root) / layer).iterdir() if p.is_dir()):
+        uri = str(folder)
+        rows.append({"table": folder.name, **(known or {}).get(folder.name, {}), "uri": uri, "row_count": spark.read.parquet(uri).count()})
+    return manifest(spark, rows)
+
+
 def write_json_manifest(path: str, entries: Mapping) -> None:
     Path(path).write_text(json.dumps(entries, ensure_ascii=False, indent=2, sort_keys=True) + "\n", encoding="utf-8")
 
