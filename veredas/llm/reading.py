@@ -18,6 +18,10 @@ from .spelling import repair
 SHARES = (0.75, 0.5, 0.9)
 #: A word is frequent from this share of the corpus on, so there are at most 1/share frequent words.
 FREQUENT = 1e-5
+#: A word belongs to the vocabulary of a level from this share of its labelled documents on.
+USUAL = 2e-5
+#: Words of so many letters are long.
+LONG_WORD = 9
 #: At most about this many labelled documents calibrate, drawn by hash; up to there all labels are used.
 CALIBRATING = 200_000
 
@@ -51,41 +55,64 @@ def _quantile(ordered: Sequence[int], share: float) -> int:
     return ordered[min(len(ordered) - 1, int(len(ordered) * share))] if ordered else 0
 
 
-def complexity(text: str, own: list[str]) -> tuple[float, float, float, float, float, int]:
-    """(median, upper and mean words per sentence, letters per word, commas per word, English)."""
+def complexity(text: str, own: list[str], seen: Counter | None = None) -> tuple[float, float, float, float, float, float, float, int]:
+    """(median, upper, lower and mean words per sentence, letters per word, commas per word, share of long words, English)."""
     n = len(own)
     if not n:
-        return 0.0, 0.0, 0.0, 0.0, 0.0, 0
+        return 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0
     lengths = sorted(k for s in _STOP.split(text) if (k := len(s.split())) > 2) or [n]
-    seen = Counter(own)
+    seen = Counter(own) if seen is None else seen
+    long_ = sum(k for w, k in seen.items() if len(w) >= LONG_WORD)
     english = sum(seen[w] for w in _ENGLISH) > sum(seen[w] for w in _PORTUGUESE)
-    return float(_quantile(lengths, 0.5)), float(_quantile(lengths, 0.8)), sum(lengths) / len(lengths), len("".join(own)) / n, text.count(",") / n, int(english)
+    return float(_quantile(lengths, 0.5)), float(_quantile(lengths, 0.8)), float(_quantile(lengths, 0.2)), sum(lengths) / len(lengths), len("".join(own)) / n, text.count(",") / n, long_ / n, int(english)
 
 
-def vocabulary(documents: DataFrame, text: str = "text", by: str | None = None) -> DataFrame:
-    """(palavra, n), with ``by`` per value of that whole-number column: every word of all whole texts with its count.
+_MEASURES = ("frase", "frase_longa", "frase_curta", "frase_media", "letras", "virgulas", "longas")
+_READ = T.StructType(
+    [T.StructField("doc_id", T.LongType()), T.StructField("parte", T.IntegerType()), T.StructField("palavras", T.LongType())]
+    + [T.StructField(n, T.DoubleType()) for n in _MEASURES]
+    + [T.StructField("ingles", T.IntegerType()), T.StructField("termos", T.StringType()), T.StructField("vezes", T.BinaryType())]
+    + [T.StructField("grupo", T.IntegerType()), T.StructField("palavra", T.StringType()), T.StructField("n", T.LongType())]
+)
+
 
-    Words are counted per batch before the shuffle.
+def read_once(documents: DataFrame, item_id: str, text: str) -> DataFrame:
+    """Every whole text read a single time, as two kinds of rows.
+
+    With ``grupo`` null: a document's measures and its different words (``termos``,
+    with their counts in ``vezes``). With ``palavra``: how often documents of a
+    group have the word, counted per batch. ``documents`` has ``_grupo`` (0
+    without a label) and ``_parte`` beside id and text.
     """
-    group = by or "_all"
-    rows = documents.select(F.lit(0).alias(group) if by is None else F.col(by).cast("int").alias(by), text)
+    import numpy as np
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def counted() -> pd.DataFrame:
-            found = [(g, w, n) for g, c in seen.items() for w, n in c.items()]
-            return pd.DataFrame(found, columns=[group, "palavra", "n"]).astype({group: "int32", "palavra": "object", "n": "int64"})
+    def counted(seen: dict[int, Counter]) -> pd.DataFrame:
+        found = [(g, w, n) for g, c in seen.items() for w, n in c.items()]
+        return _typed(pd.DataFrame(found, columns=["grupo", "palavra", "n"]))
 
+    def _typed(out: pd.DataFrame) -> pd.DataFrame:
+        out = out.reindex(columns=_READ.names)
+        whole = {f.name: "Int64" if f.dataType == T.LongType() else "Int32" for f in _READ if f.dataType in (T.LongType(), T.IntegerType())}
+        return out.astype(whole | {n: "float64" for n in _MEASURES} | {n: "object" for n in ("termos", "vezes", "palavra")})
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: dict[int, Counter] = {}
         for batch in batches:
-            for g, part in batch.groupby(group)[text]:
-                seen.setdefault(g, Counter()).update(words("\n".join([clean(t) for t in part if t])))
+            rows = []
+            for d, part, group, t in zip(batch[item_id], batch["_parte"], batch["_grupo"], batch[text]):
+                flat = clean(t) if t else ""
+                own = words(flat)
+                per = Counter(own)
+                seen.setdefault(int(group), Counter()).update(per)
+                times = np.fromiter(per.values(), np.uint32, len(per)).tobytes() if per else None
+                rows.append((None if pd.isna(d) else int(d), None if pd.isna(part) else int(part), len(own), *complexity(flat, own, per), " ".join(per) if per else None, times))
+            yield _typed(pd.DataFrame(rows, columns=_READ.names[: len(_READ) - 3]))
             if sum(map(len, seen.values())) > 200_000:
-                yield counted()
+                yield counted(seen)
                 seen = {}
-        yield counted()
+        yield counted(seen)
 
-    keys = [by, "palavra"] if by else ["palavra"]
-    return rows.mapInPandas(count, f"{group} int, palavra string, n long").groupBy(*keys).agg(F.sum("n").alias("n"))
+    return documents.select(F.col(item_id).cast("long").alias(item_id), "_parte", "_grupo", text).mapInPandas(read, _READ)
 
 
 def count_ranks(counts: DataFrame) -> DataFrame:
@@ -99,12 +126,12 @@ def count_ranks(counts: DataFrame) -> DataFrame:
     return by.select("n", (F.coalesce(above, F.lit(0)) + 1).alias("posto"))
 
 
-_FEATURES = T.StructType(
+_COVERED = T.StructType(
     [T.StructField("doc_id", T.LongType()), T.StructField("palavras", T.LongType())]
     + [T.StructField(f"cobertura{i}", T.LongType()) for i in range(len(SHARES))]
-    + [T.StructField(n, T.DoubleType()) for n in ("frase", "frase_longa", "frase_media", "letras", "virgulas")]
+    + [T.StructField(n, T.DoubleType()) for n in _MEASURES]
     + [T.StructField("ingles", T.IntegerType()), T.StructField("frequentes", T.LongType())]
-    + [T.StructField("raras", T.ArrayType(T.StringType())), T.StructField("por_nivel", T.ArrayType(T.LongType()))]
+    + [T.StructField("raras", T.ArrayType(T.StringType())), T.StructField("por_nivel", T.ArrayType(T.DoubleType()))]
 )
 
 
@@ -119,48 +146,66 @@ def single_labels(labels: DataFrame) -> DataFrame:
     return sure.where(F.pmod(F.xxhash64(F.lit("label"), "doc_id"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
 
 
-def _ranked(counts: DataFrame, name: str) -> DataFrame:
-    """(palavra, name): the ranks of the words that make up ``FREQUENT`` of all, at most 1/FREQUENT of them."""
+def _ranked(counts: DataFrame, share: float) -> DataFrame:
+    """(palavra, posto): the ranks of the words that make up ``share`` of all, at most 1/share of them."""
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    return counts.where(F.col("n") >= max(1.0, FREQUENT * total)).join(count_ranks(counts), "n").select("palavra", F.col("posto").alias(name))
+    return counts.where(F.col("n") >= max(1.0, share * total)).join(count_ranks(counts), "n").select("palavra", "posto")
 
 
 def profile(documents: DataFrame, labels: DataFrame | None = None, item_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Coverage ranks and sentence complexity of every document.
 
     ``coberturaN`` is the size of the smallest frequency-ranked vocabulary of the
-    corpus that covers share ``SHARES[N]`` of the document's words. ``por_nivel``
-    has the same for ``SHARES[0]`` in the vocabulary of the documents labelled
-    with each level, in order of level; words that a level's vocabulary lacks
-    stand behind its last. Ranks of frequent words (at most ``1/FREQUENT`` per
-    vocabulary, whatever the corpus) are sent to the executors; only documents in
-    which a share ends among rarer words of the corpus are looked up exactly, by
+    corpus that covers share ``SHARES[N]`` of the document's words: exact, whatever
+    the corpus. Ranks of frequent words (at most ``1/FREQUENT``) are sent to the
+    executors; documents in which a share ends among rarer words are looked up by
     a join of their rare words with the whole ranked vocabulary.
+
+    ``por_nivel`` has, in order of level, the logarithm of the same size for
+    ``SHARES[0]`` in the vocabulary of the documents labelled with the level. That
+    vocabulary is by definition the words that make up ``USUAL`` of these
+    documents; all others stand behind its last. Labelled documents fall into two
+    parts with a vocabulary each: a labelled document is measured by the part that
+    it is not in, any other by the mean of both, so none meets itself.
     """
     import numpy as np
 
     spark = documents.sparkSession
-    counts = cut(vocabulary(documents, text))
-    ranks = cut(count_ranks(counts))
-    tables = [_ranked(counts, "posto")]
-    if labels is not None:
+    plain = documents.select(F.col(item_id).cast("long").alias(item_id), text)
+    if labels is None:
+        marked = plain.withColumn("_parte", F.lit(None).cast("int")).withColumn("_grupo", F.lit(0))
+    else:
         # the bounded labels go to the documents, so no text is shuffled
-        marked = documents.select(item_id, text).join(F.broadcast(single_labels(labels).withColumnRenamed("doc_id", item_id)), item_id)
-        by_level = cut(vocabulary(marked, text, "nivel"))
-        for level in sorted(r.nivel for r in by_level.select("nivel").distinct().collect()):
-            tables.append(_ranked(by_level.where(F.col("nivel") == level).select("palavra", "n"), "posto"))
-    size, place, known = [], {}, [r for t in tables for r in [t.collect()]]
-    for words_ in known:
-        size.append(len(words_))
-        for r in words_:
+        part = F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(2)).cast("int")
+        known = single_labels(labels).select(F.col("doc_id").cast("long").alias(item_id), part.alias("_parte"), "nivel")
+        joined = plain.join(F.broadcast(known), item_id, "left")
+        marked = joined.withColumn("_grupo", F.coalesce(2 * F.col("nivel") + F.col("_parte") + 1, F.lit(0)).cast("int")).drop("nivel")
+    read = cut(read_once(marked, item_id, text))
+    by_group = cut(read.where("palavra is not null").groupBy("grupo", "palavra").agg(F.sum("n").alias("n")))
+    counts = cut(by_group.groupBy("palavra").agg(F.sum("n").alias("n")))
+    ranks = cut(count_ranks(counts))
+    groups = sorted(r.grupo for r in by_group.where("grupo > 0").select("grupo").distinct().collect())
+    levels = sorted({(g - 1) // 2 for g in groups})
+    columns = [_ranked(counts, FREQUENT).collect()]
+    size = {}
+    for level in levels:
+        for k in (0, 1):
+            found = _ranked(by_group.where(F.col("grupo") == 2 * level + k + 1).select("palavra", "n"), USUAL).collect()
+            size[level, k] = len(found)
+            columns.append(found)
+    place: dict[str, int] = {}
+    for column in columns:
+        for r in column:
             place.setdefault(r.palavra, len(place))
-    far = np.iinfo(np.int64).max
-    postos = np.empty((len(place) + 1, len(known)), dtype=np.int64)
-    postos[:] = [far, *[n + 1 for n in size[1:]]]
-    for k, words_ in enumerate(known):
-        for r in words_:
-            postos[place[r.palavra], k] = r.posto
-    del known
+    far = np.iinfo(np.int32).max
+    postos = np.empty((len(columns), len(place) + 1), dtype=np.int32)
+    for k, column in enumerate(columns):
+        postos[k] = far if k == 0 else len(column) + 1
+        for r in column:
+            postos[k, place[r.palavra]] = r.posto
+    del columns
+    # a level of which one part has no document is measured by the other one
+    usable = [[k for k in (0, 1) if size[level, k]] for level in levels]
     shared = spark.sparkContext.broadcast((place, postos))
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -168,23 +213,32 @@ def profile(documents: DataFrame, labels: DataFrame | None = None, item_id: str
         other = len(where)
         for batch in batches:
             rows = []
-            for d, t in zip(batch[item_id], batch[text]):
-                flat = clean(t) if t else ""
-                own = words(flat)
-                if not own:
-                    rows.append((d, 0, *[0] * len(SHARES), *complexity(flat, own), 0, None, [0] * (table.shape[1] - 1)))
+            for r in batch.itertuples(index=False):
+                measures = [getattr(r, n) for n in (*_MEASURES, "ingles")]
+                if not r.palavras:
+                    rows.append((r.doc_id, 0, *[0] * len(SHARES), *measures, 0, None, [0.0] * len(levels)))
                     continue
-                places = [where.get(w, other) for w in own]
-                ordered = np.sort(table[places], axis=0)
-                at = [min(len(own) - 1, int(len(own) * s)) for s in SHARES]
-                covered = [None if (v := int(ordered[k, 0])) == far else v for k in at]
-                frequent = int(np.searchsorted(ordered[:, 0], far))
-                rare = sorted(w for w, p in zip(own, places) if table[p, 0] == far) if None in covered else None
-                rows.append((d, len(own), *covered, *complexity(flat, own), frequent, rare, ordered[at[0], 1:].tolist()))
-            out = pd.DataFrame(rows, columns=_FEATURES.names)
+                terms, times = r.termos.split(" "), np.frombuffer(r.vezes, np.uint32)
+                places = np.fromiter((where.get(w, other) for w in terms), np.int64, len(terms))
+                every = np.repeat(places, times)
+                n = len(every)
+                at = [min(n - 1, int(n * s)) for s in SHARES]
+                ordered = np.partition(table[0, every], at)
+                covered = [None if (v := int(ordered[k])) == far else v for k in at]
+                frequent, rare = n, None
+                if None in covered:
+                    unknown = table[0, places] == far
+                    frequent = n - int(times[unknown].sum())
+                    rare = sorted(w for w, t, u in zip(terms, times, unknown) if u for _ in range(t))
+                by_level = np.log1p(np.partition(table[1:, every], at[0], axis=1)[:, at[0]]).reshape(-1, 2) if levels else []
+                own = None if pd.isna(r.parte) else int(r.parte)
+                seen = [float(np.mean([v[k] for k in ([1 - own] if own is not None and 1 - own in use else use)])) for v, use in zip(by_level, usable)]
+                rows.append((r.doc_id, n, *covered, *measures, frequent, rare, seen))
+            out = pd.DataFrame(rows, columns=_COVERED.names)
             yield out.astype({f"cobertura{i}": "Int64" for i in range(len(SHARES))})
 
-    described = cut(documents.select(F.col(item_id).cast("long").alias(item_id), text).mapInPandas(describe, _FEATURES))
+    described = cut(read.where("palavra is null").select("doc_id", "parte", "palavras", *_MEASURES, "ingles", "termos", "vezes").mapInPandas(describe, _COVERED))
+    shared.destroy()
     rare = described.where("raras is not null").select(F.xxhash64("doc_id", "raras").alias("_k"), "doc_id", "palavras", "frequentes", "raras").dropDuplicates(["_k"])
     spelled = rare.select("_k", F.explode("raras").alias("palavra")).join(counts, "palavra").join(ranks, "n")
     ordered = spelled.groupBy("_k").agg(F.array_sort(F.collect_list("posto")).alias("_postos"))
@@ -194,18 +248,20 @@ def profile(documents: DataFrame, labels: DataFrame | None = None, item_id: str
         at = F.least(F.col("palavras") - 1, F.floor(F.col("palavras") * F.lit(share))) - F.col("frequentes")
         return F.coalesce(f"cobertura{i}", F.get("_postos", at.cast("int"))).alias(f"cobertura{i}")
 
-    others = ["frase", "frase_longa", "frase_media", "letras", "virgulas", "ingles", "por_nivel"]
-    return both.select("doc_id", "palavras", *[covered(i, s) for i, s in enumerate(SHARES)], *others)
+    return both.select("doc_id", "palavras", *[covered(i, s) for i, s in enumerate(SHARES)], *_MEASURES, "ingles", "por_nivel")
 
 
-_LOGS = ["ln(1 + frase)", "ln(1 + frase_longa)", "ln(1 + frase_media)", "ln(1 + letras)", "ln(0.005 + virgulas)"]
+_COVERAGE = ["ln(1 + cobertura0)"]
+_LOGS = ["ln(1 + frase)", "ln(1 + frase_longa)", "ln(1 + frase_media)", "ln(1 + letras)", "ln(0.005 + virgulas)", "ln(1 + frase_curta)", "ln(0.02 + longas)"]
 
 
-def calibrated(profiles: DataFrame, labels: DataFrame, rounds: int = 3, doubt: float = 0.03) -> DataFrame:
+def calibrated(
+    profiles: DataFrame, labels: DataFrame, rounds: int = 3, doubt: float = 0.03, features: Sequence[str] = ("corpus", "levels", "sentences")
+) -> DataFrame:
     """(doc_id, nivel, confianca): the most probable level of every profiled document.
 
-    Features are the logs of the coverage rank in every level's vocabulary and of
-    the sentence measures. Per language and level, SQL sums over all labelled
+    Features are the logs of the coverage rank in the corpus vocabulary, of that in
+    every level's vocabulary and of the sentence measures. Per language and level, SQL sums over all labelled
     documents give their mean and covariance; a document's level maximises the normal
     density times the level's share. Labels to which the first fit gives less than
     ``doubt`` are taken for errors and left out of the next. What reaches the
@@ -213,7 +269,8 @@ def calibrated(profiles: DataFrame, labels: DataFrame, rounds: int = 3, doubt: f
     """
     import numpy as np
 
-    logs = F.concat(F.transform("por_nivel", lambda v: F.log(1.0 + v)), F.array(*[F.expr(e) for e in _LOGS]))
+    parts = {"corpus": F.array(*[F.expr(e) for e in _COVERAGE]), "levels": F.col("por_nivel"), "sentences": F.array(*[F.expr(e) for e in _LOGS])}
+    logs = F.concat(*[parts[f] for f in features])
     x = profiles.where("palavras > 0").select("doc_id", "ingles", logs.alias("x"))
     marked = cut(x.join(single_labels(labels), "doc_id"))
     first = marked.first()
