@@ -56,7 +56,7 @@ def _edge_survivors(spark: SparkSession, folder: str) -> DataFrame:
         Bundle("papeis", ("papel", "acionista_controlador", "qualificacao"), F.col("papel").isNotNull(), (source, latest)),
         Bundle("nome", ("origem_nome", "origem_documento"), F.col("origem_nome").isNotNull(), (F.col("origem_documento").isNull(), latest, source)),
     ]
-    # the role follows from the source: a partner list knows partners, a filing knows shareholders
+    # the role follows from the source: a partner list knows partners, a filing knows shareholders; the citation's order is laid down, so it is settled first
     return surviving_records(table(spark, folder, "vinculos"), ["origem_id", "cnpj"], "id_vinculo", bundles, [("fonte", "papel")])
 
 
