@@ -182,6 +182,19 @@ def test_graph(spark):
     assert {r.label: r.n for r in gp.label_histogram(nodes).collect()}["Holding"] == 1
     checks = {r.verificacao: r.ok for r in gp.graph_checks(nodes, links, served).collect()}
     assert checks["edges equal served rows"] and checks["the Union is no person"] and not checks["edges SOCIO"]
+    assert gp.graph_edges(served, nodes).count() == links.count() and gp.graph_edges(served, nodes.where("id != 'p-1'")).count() == links.count() - 1
+    assert gp.graph_edges(served, nodes.where(F.col("id") != c(1))).count() == 1
+    assert {r.id: tuple(r)[1:] for r in gp.owner_counts(nodes, links).collect()} == {c(1): (3, 1, 1), c(2): (1, 1, 0)}
+    report = gp.owners_report(nodes, links, c(1), 2).collect()
+    assert [(r.ordem, r.rel) for r in report] == [(1, "ACIONISTA"), (2, "ACIONISTA"), (3, None)] and report[2].descricao == "… 1 more"
+    assert gp.owners_report(nodes, links, c(1), 14).count() == 3 and gp.owners_report(nodes, links, c(9)).count() == 0
+    about = {r.verificacao: r.ok for r in gp.company_checks(nodes, links, c(1), [("Estado", "UNI"), ("Pessoa", "ANA")], [("Pessoa", "ANA")], True).collect()}
+    assert list(about.values()) == [True, True, False, True, True]
+    gp.require_checks(gp.company_checks(nodes, links, c(1), [("Estado", "UNI")]))
+    with pytest.raises(ValueError, match="has a Pessoa like ANA"):
+        gp.require_checks(gp.company_checks(nodes, links, c(1), [("Pessoa", "ANA")]))
+    union = nodes.unionByName(nodes.where("id = 'p-1'").withColumn("id", F.lit("p-2")).withColumn("name", F.lit("PEDRO DA UNIÃO")))
+    assert not {r.verificacao: r.ok for r in gp.graph_checks(union, links, served).collect()}["the Union is no person"]
 
 
 def test_staging_contracts_and_values(spark):

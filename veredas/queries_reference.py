@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +19,8 @@ from .operators.walk import bounded_walk, edge_ends, innermost, simple_paths, wi
 from .plans import graph as gp
 from .plans import marts, ownership, seeds, staging
 from .queries_core import table
-from .session import cut
+from .session import cut, reachable, shared_folder
+from .sources.writers import write_table
 
 CONFIG = Config()
 QUERIES: dict = {}
@@ -79,10 +82,11 @@ def distinct_window(spark: SparkSession, folder: str) -> DataFrame:
     return distinct_counts(table(spark, folder, "lineitem"), ["l_orderkey"], {"n_supp": "l_suppkey", "n_part": "l_partkey"}).select("l_orderkey", "l_linenumber", "n_supp", "n_part")
 
 
-@query("select c.c_custkey from customer c where not exists (select 1 from orders o where o.o_custkey = c.c_custkey)")
+@query("select distinct e.cnpj_basico from stg_rf_empresa e where not exists (select 1 from stg_rf_socio s where s.cnpj_basico = e.cnpj_basico)")
 def left_anti(spark: SparkSession, folder: str) -> DataFrame:
-    orders = table(spark, folder, "orders").select(F.col("o_custkey").alias("c_custkey"))
-    return table(spark, folder, "customer").join(orders, "c_custkey", "left_anti").select("c_custkey")
+    """Registered companies that no partner list names."""
+    partners = table(spark, folder, "stg_rf_socio").select("cnpj_basico").distinct()
+    return table(spark, folder, "stg_rf_empresa").join(partners, "cnpj_basico", "left_anti").select("cnpj_basico").distinct()
 
 
 @query("select c.c_custkey, exists (select 1 from orders o where o.o_custkey = c.c_custkey) as comprou from customer c")
@@ -246,12 +250,23 @@ def zero_in_degree(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # --- the pipeline ---------------------------------------------------------------
+#: The test tables have no establishments. Each registered root gets up to three offices by its last digit: order,
+#: condition for being there, for being called head office and for being active.
+_OFFICES = (("0001", "true", "d < 7", "d > 1"), ("0002", "d != 4", "d >= 5 or d = 0", "d != 6"), ("0003", "d != 9 and d != 4", "d = 8", "true"))
+
+
 def establishments(spark: SparkSession, folder: str) -> DataFrame:
-    """Head offices of all registered roots: the test tables have no establishments, so each root has ``/0001``."""
-    roots = table(spark, folder, "stg_rf_empresa").select("data", "cnpj_basico").distinct()
-    return roots.select(
-        "data", "cnpj_basico", F.concat("cnpj_basico", F.lit("000100")).alias("cnpj"), F.lit("0001").alias("cnpj_ordem"), F.lit("1").alias("identificador_matriz_filial"), F.lit("02").alias("situacao_cadastral")
-    )
+    """Offices of all registered roots: one to three each, of which none, one or two claim to be the head office, some of them closed.
+
+    Roots that end in 44 have none.
+    """
+    roots = table(spark, folder, "stg_rf_empresa").select("data", "cnpj_basico").distinct().where("cnpj_basico not like '%44'").withColumn("d", F.expr("cast(right(cnpj_basico, 1) as int)"))
+    offices = F.array(*[
+        F.when(F.expr(there), F.struct(F.lit(order).alias("cnpj_ordem"), F.when(F.expr(head), "1").otherwise("2").alias("identificador_matriz_filial"), F.when(F.expr(active), "02").otherwise("08").alias("situacao_cadastral")))
+        for order, there, head, active in _OFFICES
+    ])
+    each = roots.select("data", "cnpj_basico", F.explode(offices).alias("o")).where("o is not null").select("data", "cnpj_basico", "o.*")
+    return each.withColumn("cnpj", F.concat("cnpj_basico", "cnpj_ordem", F.lit("00")))
 
 
 def _current(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
@@ -272,7 +287,11 @@ def _edges(spark: SparkSession, folder: str) -> DataFrame:
 _CURRENT = """emp as (select * from (select *, row_number() over (partition by data, cnpj_basico order by carregado_em desc,
         razao_social nulls first, natureza_juridica nulls first, ente_federativo nulls first, capital_social nulls first) as rn
       from stg_rf_empresa where data = date '2026-01-11') where rn = 1),
-  est as (select distinct cnpj_basico, cnpj_basico || '000100' as cnpj from stg_rf_empresa where data = date '2026-01-11')"""
+  roots as (select distinct cnpj_basico, cast(right(cnpj_basico, 1) as int) as d from stg_rf_empresa where data = date '2026-01-11' and cnpj_basico not like '%44'),
+  offices as (""" + " union all ".join(
+    f"select cnpj_basico, '{order}' as ordem, case when {head} then 1 else 2 end as mf, case when {active} then '02' else '08' end as sit from roots where {there}" for order, there, head, active in _OFFICES
+) + """),
+  est as (select cnpj_basico, cnpj_basico || ordem || '00' as cnpj from (select *, row_number() over (partition by cnpj_basico order by mf, sit != '02', ordem) as k from offices) where k = 1)"""
 
 _CODES = ", ".join(f"'{c}'" for c in ownership.OWNERSHIP)
 _EDGES = f"""{_CURRENT},
@@ -343,17 +362,32 @@ def owner_kinds(spark: SparkSession, folder: str) -> DataFrame:
     return _edges(spark, folder).groupBy("origem_tipo", "fonte").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("origem_id").alias("donos"))
 
 
+#: Sectors whose entries stand for the second and the third list, which the test tables lack.
+_SECOND, _THIRD = "Alimentos", "Indústria Diversa"
+
+
 def _seeds(spark: SparkSession, folder: str) -> DataFrame:
+    """Seeds from three lists, the registry and six registers in order of trust."""
     ranking, listed = table(spark, folder, "stg_valor_ranking"), table(spark, folder, "stg_cvm_cia_aberta")
-    none = ranking.where(F.lit(False))
-    registers = [(listed, "razao_social", "situacao"), (listed, "nome_comercial", "situacao")]
-    return seeds.seed_companies(ranking, none, none, _registry(spark, folder), establishments(spark, folder), registers, CONFIG)
+    filed, edges = table(spark, folder, "stg_cvm_fre_posicao_acionaria"), table(spark, folder, "vinculos")
+    sector = F.coalesce("setor", F.lit(""))
+    lists = [ranking.where(~sector.isin(_SECOND, _THIRD)), ranking.where(sector == _SECOND), ranking.where(sector == _THIRD)]
+    company = filed.where(F.length("documento_acionista") == 14)
+    registers = [
+        (listed, "razao_social", "situacao"), (listed, "nome_comercial", "situacao"), (filed.select("id_cnpj", "nome_companhia").distinct(), "nome_companhia", None),
+        (table(spark, folder, "empresas").select(F.col("cnpj").alias("id_cnpj"), "razao_social"), "razao_social", None),
+        (edges.where("origem_tipo = 'empresa'").select(F.col("origem_id").alias("id_cnpj"), "origem_nome").distinct(), "origem_nome", None),
+        (company.select(F.col("documento_acionista").alias("id_cnpj"), "nome_acionista").distinct(), "nome_acionista", None),
+    ]
+    return seeds.seed_companies(*lists, _registry(spark, folder), establishments(spark, folder), registers, CONFIG)
 
 
 _SEEDS = f"""{_CURRENT},
-  lst as (select {_COMPANY.format('coalesce(razao_social, nome)')} as cn, nome, coalesce(razao_social, nome) as razao, posicao, 'Valor 1000 2025, ranking industrial, posição ' || posicao as cit from stg_valor_ranking),
-  esc as (select * from (select *, row_number() over (partition by cn order by posicao) as k from lst) where k = 1),
-  mot as (select cn, string_agg(cit, '; ' order by posicao) as m from lst group by cn),
+  lst0 as (select *, case setor when '{_SECOND}' then 2 when '{_THIRD}' then 3 else 1 end as lista from stg_valor_ranking),
+  lst as (select {_COMPANY.format('coalesce(razao_social, nome)')} as cn, nome, coalesce(razao_social, nome) as razao, posicao, lista,
+    'Valor 1000 2025, ' || case lista when 1 then 'ranking industrial' when 2 then 'bancos' else 'seguradoras' end || ', posição ' || posicao as cit from lst0),
+  esc as (select * from (select *, row_number() over (partition by cn order by lista, posicao) as k from lst) where k = 1),
+  mot as (select cn, string_agg(cit, '; ' order by lista, posicao) as m from lst group by cn),
   ks as (select cn, cn as chave, 1 as pr from esc union all select cn, {_COMPANY.format("regexp_replace(razao, ' - .*', '')")}, 2 from esc where razao like '% - %'
     union all select cn, {_COMPANY.format("regexp_extract(razao, '\\(([^)]+)\\)', 1)")}, 3 from esc where razao like '%(%'),
   rf as (select {_COMPANY.format('razao_social')} as chave, cnpj_basico, razao_social, capital_social from emp where razao_social is not null),
@@ -365,7 +399,11 @@ _SEEDS = f"""{_CURRENT},
     from pk join rf on starts_with(rf.chave, pk.chave) or starts_with(pk.chave, rf.chave)) where k = 1),
   un as (select cn, cnpj_basico, razao_social, capital_social from ex union all select cn, cnpj_basico, razao_social, capital_social from px),
   cad as (select {_COMPANY.format('razao_social')} as chave, id_cnpj, 1 as o, case when situacao = 'ATIVO' then 0 else 1 end as si from stg_cvm_cia_aberta where id_cnpj is not null and razao_social is not null
-    union all select {_COMPANY.format('nome_comercial')}, id_cnpj, 2, case when situacao = 'ATIVO' then 0 else 1 end from stg_cvm_cia_aberta where id_cnpj is not null and nome_comercial is not null),
+    union all select {_COMPANY.format('nome_comercial')}, id_cnpj, 2, case when situacao = 'ATIVO' then 0 else 1 end from stg_cvm_cia_aberta where id_cnpj is not null and nome_comercial is not null
+    union all select {_COMPANY.format('nome_companhia')}, id_cnpj, 3, 0 from stg_cvm_fre_posicao_acionaria where id_cnpj is not null and nome_companhia is not null
+    union all select {_COMPANY.format('razao_social')}, cnpj, 4, 0 from empresas where cnpj is not null and razao_social is not null
+    union all select {_COMPANY.format('origem_nome')}, origem_id, 5, 0 from vinculos where origem_tipo = 'empresa' and origem_id is not null and origem_nome is not null
+    union all select {_COMPANY.format('nome_acionista')}, documento_acionista, 6, 0 from stg_cvm_fre_posicao_acionaria where length(documento_acionista) = 14 and nome_acionista is not null),
   cd as (select * from (select ks.cn, id_cnpj, row_number() over (partition by cn order by pr, si, o, id_cnpj) as k from ks join cad using (chave) where chave != '') where k = 1),
   res as (select coalesce(est.cnpj, cd.id_cnpj) as cnpj, coalesce(un.razao_social, esc.razao) as razao, un.capital_social, un.cnpj_basico, m
     from esc join mot using (cn) left join un using (cn) left join est on est.cnpj_basico = un.cnpj_basico left join cd using (cn)),
@@ -380,10 +418,33 @@ def seed_companies(spark: SparkSession, folder: str) -> DataFrame:
     return _seeds(spark, folder)
 
 
+def _as_of(spark: SparkSession, folder: str) -> str:
+    """A digest of the names, lengths and times of the tables' files: another one as soon as any of them is written again."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files, seen = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True), []
+    while files.hasNext():
+        f = files.next()
+        seen.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(seen)).encode()).hexdigest()[:16]
+
+
+def _layer(spark: SparkSession, folder: str, name: str, made) -> DataFrame:
+    """The intermediate table ``name`` of ``folder``, written once per session and state of the tables and read from then on.
+
+    It lies beside the session's checkpoints in the shared folder. A table counts as written once its ``_SUCCESS`` is there.
+    """
+    root = f"{shared_folder(reachable(spark))}/camada/{_as_of(spark, folder)}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/intermediate/{name}/_SUCCESS")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        write_table(made(), root, "intermediate", name)
+    return spark.read.parquet(f"{root}/intermediate/{name}")
+
+
 def _marts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    edges, found = cut(_edges(spark, folder)), cut(_seeds(spark, folder))
-    walk = cut(marts.walk_up(edges, found, CONFIG))
-    served = cut(marts.edges_mart(edges, walk))
+    edges = _layer(spark, folder, "edges", lambda: _edges(spark, folder))
+    found = _layer(spark, folder, "seeds", lambda: _seeds(spark, folder))
+    walk = _layer(spark, folder, "walk", lambda: marts.walk_up(edges, found, CONFIG))
+    served = _layer(spark, folder, "vinculos", lambda: marts.edges_mart(edges, walk))
     return {"edges": edges, "seeds": found, "walk": walk, "vinculos": served, "empresas": marts.companies_mart(found, edges, walk, _registry(spark, folder), CONFIG), "pessoas": marts.persons_mart(served, edges)}
 
 
@@ -439,11 +500,76 @@ def mart_empresas(spark: SparkSession, folder: str) -> DataFrame:
     return _marts(spark, folder)["empresas"]
 
 
-@query()
-def graph_assertions(spark: SparkSession, folder: str) -> DataFrame:
+_NODES = f"""{_SERVED}, ab as (select cnpj from walk where profundidade > 0),
+  own as (select origem_id as cnpj, fonte, origem_nome from edges where origem_tipo = 'empresa' and origem_id in (select cnpj from ab)),
+  nn as (select * from (select cnpj, origem_nome, row_number() over (partition by cnpj order by fonte, origem_nome nulls first) as k from own) where k = 1),
+  firm as (select cnpj as id, 'Semente' as second, razao_social as name from sed
+    union all select ab.cnpj, 'Holding', coalesce(emp.razao_social, nn.origem_nome) from ab left join emp on emp.cnpj_basico = left(ab.cnpj, 8) left join nn on nn.cnpj = ab.cnpj
+    where {_CNPJ14.format('ab.cnpj')} and ab.cnpj not in (select cnpj from sed)),
+  human as (select origem_id as id, origem_nome as name from (select s.*, row_number() over (partition by origem_id order by not {_CPF11.format('origem_documento')},
+      case when fonte = 'fre' then 0 else 1 end, origem_nome nulls first, origem_documento nulls first) as k from serv s where origem_tipo = 'pessoa') where k = 1),
+  ends as (select origem_id as id, origem_tipo as tipo, min(origem_nome) as name, bool_or(origem_nome is null) as missing from serv group by 1, 2),
+  nodes as (select id, 'Empresa' as label, second, name, 'empresa' as tipo from firm union all select id, 'Pessoa', null, name, 'pessoa' from human
+    union all select id, case tipo when 'pessoa' then 'Pessoa' when 'empresa' then 'Empresa' when 'estado' then 'Estado' else 'Parada' end, null, case when not missing then name end, tipo
+      from ends where not exists (select 1 from firm where firm.id = ends.id and ends.tipo = 'empresa') and not exists (select 1 from human where human.id = ends.id and ends.tipo = 'pessoa')),
+  lab as (select label from nodes union all select second from nodes where second is not null),
+  fits as (select s.* from serv s where exists (select 1 from nodes n where n.id = s.origem_id and n.tipo = s.origem_tipo) and exists (select 1 from nodes n where n.id = s.cnpj and n.label = 'Empresa'))
+"""
+
+
+def _graph(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     m = _marts(spark, folder)
-    nodes = cut(gp.graph_nodes(m["empresas"], m["pessoas"], m["vinculos"]))
-    return gp.graph_checks(nodes, cut(gp.graph_edges(m["vinculos"])), m["vinculos"])
+    nodes = _layer(spark, folder, "nodes", lambda: gp.graph_nodes(m["empresas"], m["pessoas"], m["vinculos"]))
+    return nodes, _layer(spark, folder, "links", lambda: gp.graph_edges(m["vinculos"], nodes)), m["vinculos"]
+
+
+@query(f"""with recursive {_NODES}, facts as (
+      select 'nodes labelled ' || l as verificacao, (select count(*) from lab where label = l) as valor, 1 as least, cast(null as bigint) as most from (values ('Pessoa'), ('Empresa'), ('Semente'), ('Holding'), ('Estado')) t(l)
+      union all select 'edges CONTROLADOR', (select count(*) from fits where papel = 'acionista_controlador'), 1, null
+      union all select 'edges SOCIO', (select count(*) from fits where papel = 'socio'), 1, null
+      union all select 'edges equal served rows', (select count(*) from fits), (select count(*) from serv), (select count(*) from serv)
+      union all select 'edges point at a company', (select count(*) from fits), 1, null
+      union all select 'the Union is no person', (select count(*) from nodes where label = 'Pessoa' and regexp_matches(upper(name), 'UNI[ÃA]O')), 0, 0
+      union all select 'the Union is a state', (select count(*) from nodes where label = 'Estado' and regexp_matches(upper(name), 'UNI[ÃA]O')), 1, null
+      union all select 'partner lists have no shares', (select count(*) from fits where papel = 'socio' and fonte = 'qsa' and percentual_on is not null), 0, 0
+      union all select 'partner lists have no controller', (select count(*) from fits where fonte = 'qsa' and papel = 'acionista_controlador'), 0, 0
+      union all select 'seeds without owner', (select count(*) from firm where second = 'Semente' and id not in (select cnpj from fits)), 0, null)
+    select verificacao, valor, valor >= least and (most is null or valor <= most) as ok from facts""")
+def graph_assertions(spark: SparkSession, folder: str) -> DataFrame:
+    return gp.graph_checks(*_graph(spark, folder))
+
+
+@query(f"with recursive {_NODES} select id, label, second as detalhe, name, tipo from nodes")
+def graph_nodes(spark: SparkSession, folder: str) -> DataFrame:
+    return _graph(spark, folder)[0].select("id", F.element_at("labels", 1).alias("label"), F.try_element_at("labels", F.lit(2)).alias("detalhe"), "name", "tipo")
+
+
+@query(f"with recursive {_NODES} select label, count(*) as n from lab group by 1")
+def graph_labels_counted(spark: SparkSession, folder: str) -> DataFrame:
+    return gp.label_histogram(_graph(spark, folder)[0])
+
+
+@query(f"""with recursive {_NODES}, per as (select f.id, count(s.cnpj) as titulares, count(case when s.papel = 'acionista_controlador' then 1 end) as controladores,
+      count(case when s.origem_tipo = 'estado' then 1 end) as estados from firm f left join fits s on s.cnpj = f.id group by f.id)
+    select id, titulares, controladores, estados from per""")
+def graph_owners_counted(spark: SparkSession, folder: str) -> DataFrame:
+    """How many owners of which kind every company has; companies without any are there too."""
+    nodes, links, _ = _graph(spark, folder)
+    return gp.owner_counts(nodes, links)
+
+
+@query(f"""with recursive {_NODES}, most as (select cnpj from fits group by cnpj order by count(*) desc, cnpj limit 1),
+      o as (select case f.origem_tipo when 'pessoa' then 'Pessoa' when 'empresa' then 'Empresa' when 'estado' then 'Estado' else 'Parada' end as origem,
+        case papel when 'acionista_controlador' then 'CONTROLADOR' when 'acionista' then 'ACIONISTA' else 'SOCIO' end as rel, n.name as titular, percentual_on
+        from fits f join most using (cnpj) join nodes n on n.id = f.origem_id and n.tipo = f.origem_tipo),
+      placed as (select *, row_number() over (order by rel, coalesce(percentual_on, -1) desc, titular) as ordem from o)
+    select ordem, origem, rel, titular from placed where ordem <= 3 union all select 4, null, null, '… ' || (count(*) - 3) || ' more' from o having count(*) > 3""")
+def graph_owners_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The first three owners of the company that has most, and how many more there are."""
+    nodes, links, _ = _graph(spark, folder)
+    company = links.groupBy("to_id").count().orderBy(F.desc("count"), "to_id").first()
+    report = gp.owners_report(nodes, links, company.to_id if company else "", 3)
+    return report.select("ordem", "origem", "rel", F.coalesce("titular", F.when(F.col("rel").isNull(), F.col("descricao"))).alias("titular"))
 
 
 @query(f"""with recursive {_SERVED} select case papel when 'acionista_controlador' then 'CONTROLADOR' when 'acionista' then 'ACIONISTA' when 'socio' then 'SOCIO' end as rel, count(*) as n from serv group by 1""")
