@@ -20,8 +20,6 @@ SHARES = (0.75, 0.5, 0.9)
 FREQUENT = 1e-5
 #: A word belongs to the vocabulary of a level from this share of its labelled documents on.
 USUAL = 2e-5
-#: Words of so many letters are long.
-LONG_WORD = 9
 #: At most about this many labelled documents calibrate, drawn by hash; up to there all labels are used.
 CALIBRATING = 200_000
 
@@ -31,7 +29,8 @@ _TAG = re.compile(r"<[^<>]{1,200}>|&[a-z]{2,8};|https?://\S+")
 _FURNITURE = re.compile(r"(?im)^.*(?:p[áa]gina \d+ de \d+|page \d+ of \d+).*$")
 _PAGE = re.compile(r"(?i)(?:gina|page) \d+ (?:de|of) \d+")
 _BROKEN = re.compile(r"(?<=[^\W\d_])-\n(?=[^\W\d_])")
-_STOP = re.compile(r"[.!?;:]+(?=[\sA-ZÁÀÂÃÉÊÍÓÔÕÚÇ]|$)|\n(?=\n|\s*[-*•]\s|\d+[.)]\s)")
+#: Starts with one class of letters, which the search skips to.
+_STOP = re.compile(r"[.!?;:\n](?:(?<!\n)[.!?;:]*(?=[\sA-ZÁÀÂÃÉÊÍÓÔÕÚÇ]|$)|(?<=\n)(?=\n|\s*[-*•]\s|\d+[.)]\s))")
 # fixed values: function words that tell the two languages apart
 _ENGLISH = frozenset("the of and to that which with for by is was from".split())
 _PORTUGUESE = frozenset("de que do da em um uma para com os as não no na por".split())
@@ -55,19 +54,18 @@ def _quantile(ordered: Sequence[int], share: float) -> int:
     return ordered[min(len(ordered) - 1, int(len(ordered) * share))] if ordered else 0
 
 
-def complexity(text: str, own: list[str], seen: Counter | None = None) -> tuple[float, float, float, float, float, float, float, int]:
-    """(median, upper, lower and mean words per sentence, letters per word, commas per word, share of long words, English)."""
+def complexity(text: str, own: list[str], seen: Counter | None = None) -> tuple[float, float, float, float, float, int]:
+    """(median, upper and mean words per sentence, letters per word, commas per word, English)."""
     n = len(own)
     if not n:
-        return 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0
+        return 0.0, 0.0, 0.0, 0.0, 0.0, 0
     lengths = sorted(k for s in _STOP.split(text) if (k := len(s.split())) > 2) or [n]
     seen = Counter(own) if seen is None else seen
-    long_ = sum(k for w, k in seen.items() if len(w) >= LONG_WORD)
     english = sum(seen[w] for w in _ENGLISH) > sum(seen[w] for w in _PORTUGUESE)
-    return float(_quantile(lengths, 0.5)), float(_quantile(lengths, 0.8)), float(_quantile(lengths, 0.2)), sum(lengths) / len(lengths), len("".join(own)) / n, text.count(",") / n, long_ / n, int(english)
+    return float(_quantile(lengths, 0.5)), float(_quantile(lengths, 0.8)), sum(lengths) / len(lengths), len("".join(own)) / n, text.count(",") / n, int(english)
 
 
-_MEASURES = ("frase", "frase_longa", "frase_curta", "frase_media", "letras", "virgulas", "longas")
+_MEASURES = ("frase", "frase_longa", "frase_media", "letras", "virgulas")
 _READ = T.StructType(
     [T.StructField("doc_id", T.LongType()), T.StructField("parte", T.IntegerType()), T.StructField("palavras", T.LongType())]
     + [T.StructField(n, T.DoubleType()) for n in _MEASURES]
@@ -103,7 +101,7 @@ def read_once(documents: DataFrame, item_id: str, text: str) -> DataFrame:
                 flat = clean(t) if t else ""
                 own = words(flat)
                 per = Counter(own)
-                seen.setdefault(int(group), Counter()).update(per)
+                seen.setdefault(int(group), Counter()).update(own)
                 times = np.fromiter(per.values(), np.uint32, len(per)).tobytes() if per else None
                 rows.append((None if pd.isna(d) else int(d), None if pd.isna(part) else int(part), len(own), *complexity(flat, own, per), " ".join(per) if per else None, times))
             yield _typed(pd.DataFrame(rows, columns=_READ.names[: len(_READ) - 3]))
@@ -252,7 +250,7 @@ def profile(documents: DataFrame, labels: DataFrame | None = None, item_id: str
 
 
 _COVERAGE = ["ln(1 + cobertura0)"]
-_LOGS = ["ln(1 + frase)", "ln(1 + frase_longa)", "ln(1 + frase_media)", "ln(1 + letras)", "ln(0.005 + virgulas)", "ln(1 + frase_curta)", "ln(0.02 + longas)"]
+_LOGS = ["ln(1 + frase)", "ln(1 + frase_longa)", "ln(1 + frase_media)", "ln(1 + letras)", "ln(0.005 + virgulas)"]
 
 
 def calibrated(
@@ -350,7 +348,7 @@ def reading_levels(documents: DataFrame, labels: DataFrame, item_id: str = "doc_
     without labels the level is null; documents with two different labels do not
     calibrate; any length of text is read whole; further columns are never read.
     """
-    profiles = profile(documents, labels, item_id, text)
+    profiles = cut(profile(documents, labels, item_id, text))
     levels = calibrated(profiles.dropDuplicates(["doc_id"]), labels)
     seen = profiles.where("palavras > 0").select("doc_id", F.col("cobertura0").alias("cobertura"), "palavras", "frase")
     return seen.join(levels, "doc_id")
