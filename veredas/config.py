@@ -7,7 +7,10 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class Config:
-    """``partition_date``: the registry delivery that counts. ``publication_date``: of the ranking lists."""
+    """``partition_date``: the registry delivery that counts. ``publication_date``: of the ranking lists.
+
+    The defaults are fixed values: dates, depth and labels that results have to show.
+    """
 
     partition_date: str = "2026-01-11"
     publication_date: str = "2025-09-16"

@@ -19,7 +19,10 @@ def prefix_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str
     A right key that begins with a left key meets it by its own leading part of
     that length, a left key that begins with a right key likewise: each side is
     copied once per length that the other side's keys have and it reaches. Both
-    are equi-joins; equal keys are found by the first only.
+    are equi-joins; equal keys are found by the first only. Before it is copied,
+    the right side is reduced to rows that begin like some left key in as many
+    characters as the shortest left key has, which needs no shuffle of a large
+    right side while the left one is small.
 
     Null keys find nothing; an empty right key begins every left key and the
     other way round; repeated rows give repeated pairs. Columns of both sides
@@ -32,7 +35,12 @@ def prefix_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str
         reached = F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= own)
         return df.withColumn("_n", F.explode(reached)).withColumn("_part", F.substring(F.col(key), F.lit(1), F.col("_n"))).drop("_n")
 
-    longer = left.withColumn("_part", F.col(left_key)).join(parts(right, right_key, lengths_left, False), "_part").drop("_part")
+    least = lengths_left[0] if lengths_left else 0
+    like = right
+    if least:
+        heads = left.where(F.col(left_key).isNotNull()).select(F.substring(F.col(left_key), 1, least).alias("_head")).distinct()
+        like = right.where(F.length(right_key) >= least).withColumn("_head", F.substring(F.col(right_key), 1, least)).join(heads, "_head", "left_semi").drop("_head")
+    longer = left.withColumn("_part", F.col(left_key)).join(parts(like, right_key, lengths_left, False), "_part").drop("_part")
     shorter = parts(left, left_key, lengths_right, True).join(right.withColumn("_part", F.col(right_key)), "_part").drop("_part")
     return longer.unionByName(shorter)
 

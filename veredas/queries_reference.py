@@ -220,13 +220,15 @@ def walk_bounded(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("""with recursive e as (select distinct origem_id as here, cnpj as there from vinculos where acionista_controlador and origem_id is not null and cnpj is not null),
     t as (select distinct cnpj from stg_x where false), p(start, target, hops, used) as (
-      select here, there, 1, [here || '>' || there] from e
+      select here, there, 1, [here || '>' || there] from e where there in (select cnpj from empresas where motivo_entrada_categoria = 'semente')
       union all select e.here, p.target, p.hops + 1, list_append(p.used, e.here || '>' || e.there) from p join e on e.there = p.start
       where p.hops < 6 and not list_contains(p.used, e.here || '>' || e.there))
     select start as inicio, target as fim, hops as passos from p""".replace("t as (select distinct cnpj from stg_x where false), ", ""))
 def var_length_path(spark: SparkSession, folder: str) -> DataFrame:
+    """Every control path of up to six steps that ends at a seed company."""
     control = table(spark, folder, "vinculos").where("acionista_controlador").select(F.col("origem_id").alias("here"), F.col("cnpj").alias("there"))
-    out = simple_paths(control, control.select(F.col("there").alias("node")).distinct(), 6)
+    targets = table(spark, folder, "empresas").where("motivo_entrada_categoria = 'semente' and cnpj is not null").select(F.col("cnpj").alias("node")).distinct()
+    out = simple_paths(control, targets, 6)
     return out.select(F.col("start").alias("inicio"), F.col("target").alias("fim"), F.col("hops").alias("passos"))
 
 
