@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from veredas.operators.hierarchy import descendants, resolve_hierarchy
 from veredas.operators.references import orphan_references, parent_intervals
 from veredas.operators.skew import hot_values, lookup_join, salted_join
+from veredas.session import cut
 
 
 def brute(up):
@@ -70,3 +71,14 @@ def test_hot_keys_meet_the_same_partners(spark):
         assert plain == split
         if how == "inner":
             assert plain == salted
+
+
+def test_rounds_of_a_loop_carry_no_constraints_or_estimates_on(spark):
+    df = cut(spark.range(40).select("id", (F.col("id") % 3 == 0).alias("stop")))
+    for _ in range(3):
+        df = cut(df.where("stop").unionByName(df.where("not stop")).select("id", F.col("stop").alias("stop")))
+        plan = df._jdf.queryExecution().optimizedPlan()
+        assert plan.constraints().isEmpty()
+        # what is not measured yet is not taken for small
+        assert int(str(plan.stats().sizeInBytes())) > 10**12
+    assert df.where("stop").count() == 14 and df.count() == 40

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
-from .skew import lookup_join
+from .skew import HOT, lookup_join
 
 
 def _is_splitter(node: str, every: int):
@@ -52,7 +52,8 @@ def _chase(start: DataFrame, paths: bool) -> tuple[DataFrame, DataFrame]:
             F.col("node").alias("at"), F.col("at").alias("_at"), F.col("steps").alias("_steps"), F.col("seg").alias("_seg"), F.col("stop").alias("_stop")
         )
         moved = cut(
-            lookup_join(going, ahead, "at", how="inner").select(
+            # fewer walkers than a hot key has rows need no count by key
+            lookup_join(going, ahead, "at", how="inner", hot=None if walking >= HOT else []).select(
                 "node",
                 F.col("_at").alias("at"),
                 (F.col("steps") + F.col("_steps")).alias("steps"),
@@ -76,7 +77,7 @@ def _name_cycles(cyclic: DataFrame, links: DataFrame) -> DataFrame:
     n, reached = own.count(), 1
     while reached < n:
         ahead = own.select(F.col("node").alias("at"), F.col("at").alias("_at"), F.col("low").alias("_low"))
-        own = cut(lookup_join(own, ahead, "at", how="inner").select("node", F.col("_at").alias("at"), F.least("low", "_low").alias("low")))
+        own = cut(lookup_join(own, ahead, "at", how="inner", hot=None if n >= HOT else []).select("node", F.col("_at").alias("at"), F.least("low", "_low").alias("low")))
         reached *= 2
     lows = own.select(F.col("node").alias("at"), F.col("low").alias("cycle"))
     on = own.select(F.col("at").alias("node")).distinct().withColumn("on_cycle", F.lit(True))

@@ -8,7 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def hot_values(df: DataFrame, key: str, most: int = 200, at_least: int = 100_000) -> list:
+#: A key with fewer rows than this is not hot.
+HOT = 100_000
+
+
+def hot_values(df: DataFrame, key: str, most: int = 200, at_least: int = HOT) -> list:
     """The values of ``key`` with ``at_least`` rows, the ``most`` largest of them.
 
     Counts are combined map-side, and the list is bounded by ``most``: any value
