@@ -161,3 +161,12 @@ def test_names_without_document_merge_and_are_matched_again(spark):
     rows = [("F. OTAVIO T. LACEBIM BRUNIQUAL", None, "p"), ("FERNANDO O. TEDERTIQUE LACEBIM BRUNIQUAL", None, "p")]
     profiles = [("FERNANDO OTAVIO TEDERTIQUE LACEBIM BRUNIQUAL", "***111111**", "p"), ("FABIO OTAVIO TUREM LACEBIM BRUNIQUAL", "***222222**", "p"), ("FERNANDO OSMAR TEDERTIQUE LACEBIM BRUNIQUAL", "***333333**", "p")]
     assert tuple(sorted((rows[0][0], rows[1][0], profiles[0][0]))) in linked(spark, rows + profiles)
+
+
+def test_the_number_of_spellings_of_a_masked_document_changes_no_link(spark, monkeypatch):
+    names = ["PESSOA ABELARDO LIMAO", "PESSOA BONIFACIO LIMAO", "P. ABELARDO LIMAO", "FERNANDO OTAVIO TEDERTIQUE LACEBIM", "F. OTAVIO TEDERTIQUE LACEBIM", "VIVO UM DOIS TRES"]
+    rows = [(n, "***331486**", "p") for n in names] + [("Pessoa Abelardo Limão", None, "p"), ("VIVO UM DOIS TRES", "***222222**", "p")]
+    few = linked(spark, rows)
+    monkeypatch.setattr(nm, "MAX_SPELLINGS_OF_DOCUMENT", 2)
+    assert linked(spark, rows) == few
+    assert any("PESSOA ABELARDO LIMAO" in g and "PESSOA BONIFACIO LIMAO" in g for g in few) is False

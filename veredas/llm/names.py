@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import cut
-from .spelling import LEAST_GIVEN, agreement, block_keys, merged_tokens, parse, same_bearer, share_trigrams, trigrams
+from .spelling import LEAST_GIVEN, agreement, block_keys, merged_tokens, parse, share_trigrams, trigrams
 
 #: The spellings of one document are gathered up to this number. Of a company with more each part of about so many
-#: is merged, then the parts. A masked document with more is borne by strangers, too: see ``_within_documents``.
+#: is merged, then the parts. The names of a masked document with more meet by joins, under the same rule.
 MAX_SPELLINGS_OF_DOCUMENT = 200
 #: Tokens that begin fewer than one in so many persons' names are not taken for given names.
 GIVEN = 100_000
@@ -40,22 +40,45 @@ def bearers(names: pd.Series, hint: pd.Series, certain: pd.Series) -> pd.DataFra
         order = sorted(range(len(seen)), key=lambda i: (-len("".join(seen[i][1])), group[i]))
         clusters: list[list[int]] = []
         part = [-1] * len(seen)
+        near = {} if sure else {i: _nearness(seen[i][1]) for i in order if seen[i][0] != "x"}
         for i in order:
             if seen[i][0] == "x":
                 continue
-            for k, c in enumerate(clusters):
-                if sure or any(same_bearer(seen[i][0], seen[i][1], seen[j][1], seen[i][2], seen[j][2], seen[i][3], seen[j][3]) for j in c):
-                    c.append(i)
-                    part[i] = k
-                    break
-            else:
-                part[i] = len(clusters)
-                clusters.append([i])
+            met = [c for c in clusters if sure or any(_linked(seen[i], near[i], seen[j], near[j]) for j in c)]
+            clusters = [c for c in clusters if not any(c is m for m in met)] + [[j for c in met for j in c] + [i]]
+        clusters = [sorted(c, key=order.index) for c in clusters]
+        for k, c in enumerate(clusters):
+            for i in c:
+                part[i] = k
         parts.append(part)
-        riches.append([merged_tokens(seen[c[0]][1], [seen[j][1] for j in c[1:]]) for c in clusters])
+        riches.append([_filled(seen[c[0]][1], [seen[j][1] for j in c[1:]]) for c in clusters])
     return pd.DataFrame({"part": parts, "rich": riches})
 
 
+def _grams(tokens: list[str]) -> list[int]:
+    return sorted(xxhash.xxh64_intdigest("3:" + g) - (1 << 63) for g in trigrams(tokens))
+
+
+def _nearness(tokens: list[str]) -> tuple[set[str], set[int], set[int]]:
+    """Block keys, trigrams, and the third of them that meets the other name's: what ``_within_documents`` joins by."""
+    grams = _grams(tokens)
+    return set(block_keys("p", tokens)), set(grams), set(grams[: len(grams) - -(-len(grams) * 2 // 3) + 1])
+
+
+def _filled(longest: list[str], others: list[list[str]]) -> list[str]:
+    """The longest name, each initial of it filled in by the first other name that has a whole word there."""
+    out = list(longest)
+    for o in others:
+        out = [r if x == t else x for x, t, r in zip(out, longest, merged_tokens(longest, [o]))]
+    return out
+
+
+def _linked(a: tuple, near_a: tuple, b: tuple, near_b: tuple) -> bool:
+    """The rule of ``_within_documents`` for two names of one masked document."""
+    met = near_a[0] & near_b[0] or near_a[2] & near_b[1] or near_b[2] & near_a[1]
+    return bool(met) and (share_trigrams(a[1], b[1]) or agreement(a[0], a[1], b[1], (), (), a[3], b[3])[0] == 2)
+
+
 @F.pandas_udf(T.ArrayType(T.LongType()))
 def keys_of(kind: pd.Series, tokens: pd.Series) -> pd.Series:
     def signed(text: str) -> int:
@@ -92,7 +115,7 @@ def richer(a: pd.Series, b: pd.Series) -> pd.Series:
 
 @F.pandas_udf(T.ArrayType(T.LongType()))
 def grams_of(tokens: pd.Series) -> pd.Series:
-    return pd.Series([sorted(xxhash.xxh64_intdigest("3:" + g) - (1 << 63) for g in trigrams(list(t))) for t in tokens])
+    return pd.Series([_grams(list(t)) for t in tokens])
 
 
 @F.pandas_udf(T.BooleanType())
@@ -124,8 +147,8 @@ def link_spellings(records: DataFrame, name: str, document: str, hint: str) -> D
 
     ``records`` has a name, an optional document and an optional hint (``p`` a
     person, ``o`` an organisation) per row. Merge and rematch: (1) spellings
-    under one document are merged where the document is whole or the names are
-    compatible, and the merged profile keeps the union of spellings with its
+    under one document are merged where the document is whole or the names agree
+    in full or share their trigrams, and the merged profile keeps the union of spellings with its
     initials filled in; (2) names without any document enter blocking against
     the profiles; a name joins the one profile it agrees with in full; (3) the
     profiles grown in a round re-enter blocking with their merged names, until a
@@ -144,10 +167,10 @@ def link_spellings(records: DataFrame, name: str, document: str, hint: str) -> D
     (one string under two documents) stand in both entities. Null and empty
     names, other holders, treasury shares and public bodies have no entity;
     repeated rows count once; an empty table gives no rows; further columns are
-    never read. A company has its spellings however many they are. A masked
-    document with over ``MAX_SPELLINGS_OF_DOCUMENT`` of them may be a placeholder:
-    its names go the way of names without one, and besides those are linked that
-    agree in full or share their trigrams; mere compatibility does not count there.
+    never read. A company has its spellings however many they are. Under a masked
+    document, which strangers may share, names are linked that agree in full or
+    share their trigrams, however many spellings it has: documents of up to
+    ``MAX_SPELLINGS_OF_DOCUMENT`` are judged in one place, larger ones by joins.
     """
     rows = records.where(F.col(name).isNotNull()).select(F.col(name).alias("nome"), document_key(document).alias("doc"), F.col(hint).alias("hint"))
     from_doc = F.when(F.col("doc").startswith("c"), "o").when(F.col("doc").startswith("m"), "p")
@@ -173,14 +196,15 @@ def link_spellings(records: DataFrame, name: str, document: str, hint: str) -> D
     linked = members.select(F.col("m.nomes").alias("nome"), F.concat("doc", F.lit("#"), F.col("m.part").cast("string")).alias("entidade"))
     linked = linked.unionByName(single.select("nome", F.concat("doc", F.lit("#0")).alias("entidade")))
 
-    within = riches = None
+    riches = None
     vouched = usable.select("nome")
     if not many.isEmpty():
         hot = seen.join(many, "doc").select("doc", "n", "nome")
         companies = hot.where(F.col("doc").startswith("c"))
         named, riches = _companies_of_many_names(companies)
-        linked, vouched = linked.unionByName(named), vouched.unionByName(companies.select("nome"))
-        within = _within_documents(hot.where(F.col("doc").startswith("m")))
+        placed, filled = _within_documents(hot.where(F.col("doc").startswith("m")))
+        linked, vouched = linked.unionByName(named).unionByName(placed), vouched.unionByName(hot.select("nome"))
+        riches = riches.unionByName(filled)
 
     # names that no document vouches for, one row per form
     alone = names.join(vouched.distinct(), "nome", "left_anti").drop("documented")
@@ -198,8 +222,6 @@ def link_spellings(records: DataFrame, name: str, document: str, hint: str) -> D
     given = given_names(names.where("documented"))
     by_form = _rematched(forms, entering, given)
     given.unpersist()
-    if within is not None:
-        linked = linked.unionByName(within)
     return cut(linked.unionByName(alone.select("nome", "form").join(by_form, "form").select("nome", "entidade")).distinct())
 
 
@@ -308,8 +330,8 @@ def _companies_of_many_names(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return named, rich.select(entity, F.lit("o").alias("kind"), "tokens", F.array().cast("array<string>").alias("legal"), F.lit("").alias("gen"))
 
 
-def _within_documents(rows: DataFrame) -> DataFrame:
-    """(nome, entidade): names (doc, nome) under one masked document that agree in full or share their trigrams.
+def _within_documents(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(nome, entidade) and merged profiles: names (doc, nome) under one masked document that agree in full or share their trigrams.
 
     Pairs meet by block keys, and by trigrams exactly: two thirds of the smaller
     set are shared, so one of any third of it and one more is.
@@ -325,9 +347,19 @@ def _within_documents(rows: DataFrame) -> DataFrame:
     own = F.struct("tokens", "gen")
     both = met.join(nodes.select("form", "kind", own.alias("_a")), "form").join(nodes.select(F.col("form").alias("form2"), own.alias("_b")), "form2")
     labels = _components(nodes.select("form"), both.where(one_bearer("kind", "_a", "_b")).select("form", "form2"))
-    placed = cut(read.join(labels, "form").select("nome", F.concat("doc", F.lit("#="), F.col("label").cast("string")).alias("entidade")))
-    shared = placed.groupBy("entidade").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return placed.join(shared, "entidade", "left_semi").select("nome", "entidade")
+    placed = cut(read.join(labels, "form").select("nome", "tokens", F.concat("doc", F.lit("#="), F.col("label").cast("string")).alias("entidade")))
+    # the longest name with its initials filled in by the first other one that has a whole word there
+    first = F.struct((-F.length(F.array_join("tokens", ""))).alias("l"), "nome", "tokens")
+    longest = placed.groupBy("entidade").agg(F.min(first)["tokens"].alias("_t"))
+    fills = placed.join(longest, "entidade").select("entidade", "_t", first.alias("o"), richer("_t", "tokens").alias("_rich")).where("_rich != _t")
+    each = fills.select("entidade", "o", F.posexplode(F.arrays_zip("_t", "_rich")).alias("at", "w")).where("w._t != w._rich")
+    words = each.groupBy("entidade", "at").agg(F.min(F.struct("o", F.col("w._rich").alias("w")))["w"].alias("w"))
+    words = words.groupBy("entidade").agg(F.map_from_entries(F.collect_list(F.struct("at", "w"))).alias("_w"))
+    rich = longest.join(words, "entidade", "left").select(
+        "entidade", F.lit("p").alias("kind"), F.transform("_t", lambda t, at: F.coalesce(F.get(F.array(F.col("_w")), F.lit(0))[at], t)).alias("tokens"),
+        F.array().cast("array<string>").alias("legal"), F.lit("").alias("gen"),
+    )
+    return placed.select("nome", "entidade"), rich
 
 
 def _distinct_profiles(df: DataFrame) -> DataFrame:
