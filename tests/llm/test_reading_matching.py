@@ -171,3 +171,14 @@ def test_a_brand_of_many_aliases_is_met_without_a_shared_word(spark):
     registered = ["BELAMON ENERGIA SA", "BELAMON ALIMENTOS SA", "BELAMON SEGUROS LTDA", "BELAMON"]
     got = met(spark, ["Belamon", "Belamon Mineracao", "Belamon Energia"], registered)
     assert list(got.values()) == [set(registered)] * 3
+
+
+def test_no_side_of_the_candidates_is_built_on_the_driver(spark):
+    none = F.lit(None).cast("string")
+    q = spark.createDataFrame([(1, "Noufzu Energia")], "posicao long, _short_text string").withColumn("_long_text", none)
+    q = q.withColumn("_short", company_name("_short_text")).withColumn("_long", company_name("_long_text"))
+    r = spark.createDataFrame([("1", "NOFUZU ENERGIA SA"), ("2", "NOFUZU ENERGIA SA")], "ent string, _alias string").withColumn("_name", company_name("_alias"))
+    got = candidates(q, "posicao", r, "ent")
+    assert {x.ent for x in got.collect()} == {"1", "2"}
+    # brands look small until their keys are made of them
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
